@@ -13,6 +13,8 @@ are ignored.
 from __future__ import annotations
 
 import functools
+import re
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -25,36 +27,64 @@ from .common import written
 
 CAPACITY, END_ID = 2048, 1
 #: Word pieces whose ids a worker remembers, and rows of one ranking chunk.
-REMEMBERED, CHUNK = 200_000, 20_000
+REMEMBERED, CHUNK = 500_000, 20_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row_key long"
 
 
+def _plain() -> re.Pattern:
+    """Matches a character for which Python's re and the tokenizer's pattern may differ on letter, number or space.
+
+    Both agree where the character's category has been the same since Unicode 3.2 and is what re takes it for.
+    """
+    odd, first = [], None
+    for c in range(0x10000):
+        x = chr(c)
+        kind, old = unicodedata.category(x), unicodedata.ucd_3_2_0.category(x)
+        seen = "L" if x.isalpha() else "N" if x.isdecimal() else "A" if x.isalnum() else "S" if x.isspace() else ""
+        real = kind[0] if kind[0] in "LN" else "S" if kind[0] == "Z" or c in (9, 10, 11, 12, 13, 0x85) else ""
+        if (kind != old or seen != real or kind in ("Cs", "Cn")) == (first is None):
+            if first is None:
+                first = c
+            else:
+                odd.append((first, c - 1))
+                first = None
+    odd.append((first if first is not None else 0x10000, 0x10FFFF))
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in odd) + "]")
+
+
 class Encoder:
-    """Ids of a byte-level BPE tokenizer, remembered for each piece that its own pattern cuts a text into."""
+    """Ids of a byte-level BPE tokenizer, remembered for each piece that its own pattern cuts a text into.
+
+    A text with a character on which Python's re may differ from that pattern goes through the tokenizer whole.
+    """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
+        self.odd = _plain().search
+        self.pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
         self.known: dict[str, bytes] = {}
+        # The model works on printable characters that stand for bytes, as byte-level BPE defines them.
+        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = dict(zip(shown, shown)) | {b: 0x100 + i for i, b in enumerate(hidden)}
+
+    def _learn(self, piece: str) -> bytes:
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        self.known[piece] = ids = np.asarray([x.id for x in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
+        return ids
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids."""
-        pieces, known = self.pieces(text), self.known
-        try:
-            return b"".join([known[x] for x in pieces])
-        except KeyError:
-            new = list({x for x in pieces if x not in known})
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(pieces))
-            for x, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[x] = np.asarray(e.ids, "<u4").tobytes()
-            return b"".join([known[x] for x in pieces])
+        if self.odd(text):
+            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        known, learn = self.known.get, self._learn
+        return b"".join([known(x) or learn(x) for x in self.pieces(text)])
 
 
 @functools.lru_cache(1)
