@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, license_scan, line_dedup, mixing, packing
+from . import exact_dedup, language_id, license_scan, line_dedup, mixing, packing, quality
 from .common import table
 
 
@@ -28,16 +28,24 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_dedup, op2_exact_dedup, op4_license_scan, op8_packing, op10_mixing)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_exact_dedup, op4_license_scan, op5_language_id, op8_packing, op9_quality, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
