@@ -136,3 +136,53 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     for i in range(k):
         out = out * np.uint64(0xD6E8FEB86659FD93) + words[i : i + n]
     return mix64(out)
+
+
+def sorted_groups(batches, keys: list[str]):
+    """pa.Table of each run of equal keys in batches that come sorted by them; a run may span batches."""
+    open_parts: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows, bool)
+        change[0] = not open_parts or any(open_parts[-1].column(k)[-1] != batch.column(k)[0] for k in keys)
+        for k in keys:
+            x = batch.column(k).to_numpy(zero_copy_only=False)
+            change[1:] |= x[1:] != x[:-1]
+        cuts = [*np.flatnonzero(change).tolist(), batch.num_rows]
+        if not change[0]:
+            cuts = [0, *cuts]
+        elif open_parts:
+            yield pa.Table.from_batches(open_parts)
+            open_parts = []
+        for a, b in zip(cuts[:-2], cuts[1:-1]):
+            yield pa.Table.from_batches([*open_parts, batch.slice(a, b - a)])
+            open_parts = []
+        open_parts.append(batch.slice(cuts[-2], cuts[-1] - cuts[-2]))
+    if open_parts:
+        yield pa.Table.from_batches(open_parts)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label) for every node of edges (a, b): the smallest node of its connected component.
+
+    Each round points every node to its smallest neighbour and contracts the edges by that; the tables of a round are
+    written, and hot nodes are joined by sort-merge, whose skewed keys Spark splits.
+    """
+    steps = []
+    edges = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "edges")
+    while True:
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        step = both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label"))
+        steps.append(step := written(step, "step"))
+        ends = step.select(F.col("node").alias("a"), F.col("label").alias("to_a")).hint("merge")
+        other = step.select(F.col("node").alias("b"), F.col("label").alias("to_b")).hint("merge")
+        moved = edges.join(ends, "a").join(other, "b").select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
+        edges = written(moved.where("a < b").distinct(), "edges")
+        if edges.isEmpty():
+            break
+    labels = steps[0]
+    for step in steps[1:]:
+        nxt = step.select(F.col("node").alias("label"), F.col("label").alias("next")).hint("merge")
+        labels = written(labels.join(nxt, "label", "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
+    return labels

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, license_scan, line_dedup, mixing, packing, quality
+from . import exact_dedup, jaccard_join, language_id, license_scan, line_dedup, mixing, packing, quality, substring_dedup
 from .common import table
 
 
@@ -32,6 +32,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -45,7 +53,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_dedup, op2_exact_dedup, op4_license_scan, op5_language_id, op8_packing, op9_quality, op10_mixing)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_exact_dedup, op4_license_scan, op5_language_id, op6_jaccard_join, op7_substring_dedup, op8_packing, op9_quality, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -104,7 +112,33 @@ kept AS (SELECT page_id, host, lines, CASE WHEN drops IS NULL THEN lines ELSE li
 SELECT page_id, host, len(lines) AS n_lines, len(lines) - len(kept) AS n_removed, sha256(array_to_string(kept, chr(10))) AS kept_sha256 FROM kept"""
 
 
+SPACES = r"[\x20\x09-\x0D]+"
+WORDS_SQL = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACES}'), lambda x: x <> '')"
+
 ORACLES = {
+    "op6_jaccard_join": f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS_SQL} AS w FROM documents),
+t AS (SELECT t, min(doc_id) AS rep, count(*) AS n_copies, any_value(w) AS w FROM d GROUP BY t),
+s AS (SELECT DISTINCT rep, array_to_string(w[p + 1 : p + {jaccard_join.WORDS}], chr(31)) AS g
+      FROM (SELECT rep, w, unnest(range(greatest(1, len(w) - {jaccard_join.WORDS - 1}))) AS p FROM t WHERE len(w) > 0)),
+n AS (SELECT rep, count(*) AS n FROM s GROUP BY rep),
+i AS (SELECT a.rep AS a, b.rep AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.rep < b.rep GROUP BY ALL),
+pairs AS (SELECT a, b FROM i JOIN n x ON x.rep = a JOIN n y ON y.rep = b WHERE common >= {jaccard_join.THRESHOLD} * (x.n + y.n - common)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach(rep, other) AS (SELECT a, b FROM links UNION SELECT r.rep, l.b FROM reach r JOIN links l ON r.other = l.a),
+c AS (SELECT rep, min(other) AS least FROM reach GROUP BY rep),
+k AS (SELECT a AS rep, count(*) AS n FROM links GROUP BY a)
+SELECT doc_id, least(rep, coalesce(least, rep)) AS class_id, coalesce(k.n, 0) AS n_links, n_copies
+FROM d JOIN t USING (t) LEFT JOIN c USING (rep) LEFT JOIN k USING (rep)""",
+    "op7_substring_dedup": f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+win AS (SELECT doc_id, p, array_to_string(w[p + 1 : p + {substring_dedup.WINDOW}], chr(31)) AS g
+        FROM (SELECT doc_id, w, unnest(range(greatest(0, len(w) - {substring_dedup.WINDOW - 1}))) AS p FROM d)),
+late AS (SELECT doc_id, p FROM (SELECT *, min(doc_id) OVER (PARTITION BY g) AS least FROM win) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, p + o AS p FROM late, range({substring_dedup.WINDOW}) r(o)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)""",
     "op1_line_dedup": _line_sql(),
     "op4_license_scan": _license_sql(),
     "op2_exact_dedup": """
