@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, language_id, license_scan, line_dedup, mixing, packing, quality, substring_dedup
+from . import exact_dedup, jaccard_join, language_id, license_scan, line_dedup, mixing, packing, quality, substring_dedup, topk_search
 from .common import table
 
 
@@ -24,6 +24,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return out.select("query_id", "rank", "vec_id", "score")
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
@@ -53,7 +58,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_dedup, op2_exact_dedup, op4_license_scan, op5_language_id, op6_jaccard_join, op7_substring_dedup, op8_packing, op9_quality, op10_mixing)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_exact_dedup, op3_topk_search, op4_license_scan, op5_language_id, op6_jaccard_join, op7_substring_dedup, op8_packing, op9_quality, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -116,6 +121,13 @@ SPACES = r"[\x20\x09-\x0D]+"
 WORDS_SQL = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACES}'), lambda x: x <> '')"
 
 ORACLES = {
+    "op3_topk_search": """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS q FROM embeddings
+           WHERE len(embedding) > 0 AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""",
     "op6_jaccard_join": f"""
 WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS_SQL} AS w FROM documents),
 t AS (SELECT t, min(doc_id) AS rep, count(*) AS n_copies, any_value(w) AS w FROM d GROUP BY t),
