@@ -105,24 +105,31 @@ def sentence_spans(text: Column) -> Column:
     return F.filter(at, lambda x: x["e"] > x["s"])
 
 
-def sentence_rollup(chars: DataFrame, keys: list[str], spans: str = "spans") -> DataFrame:
-    """keys, sentence, text, start, end: times over the characters s to e, both included; text is half open.
+def sentence_characters(segments: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, sentence, s, sentence_text, cdx of segments (keys, text): each sentence's characters s to e, e included.
+
+    The character after a sentence belongs to both; texts are half open. Meant for an equi-join with characters.
+    """
+    rows = segments.select(*keys, "text", F.posexplode(sentence_spans(F.col("text"))).alias("sentence", "span"))
+    text = F.substring(F.col("text"), F.col("span.s") + 1, F.col("span.e") - F.col("span.s"))
+    last = F.least(F.col("span.e"), F.length("text") - 1)
+    return rows.select(*keys, "sentence", text.alias("sentence_text"), F.explode(F.sequence(F.col("span.s"), last)).alias("cdx"))
+
+
+def sentence_rollup(chars: DataFrame, segments: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, sentence, text, start, end of chars (keys, cdx, char, start, end).
 
     The end skips spaces. A sentence without times has null.
     """
-    rows = chars.withColumn("_span", F.explode(F.transform(spans, lambda x, i: F.struct(i.alias("sentence"), x["s"].alias("s"), x["e"].alias("e")))))
-    rows = rows.where((F.col("cdx") >= F.col("_span.s")) & (F.col("cdx") <= F.col("_span.e")))
-    return rows.groupBy(*keys, F.col("_span.sentence").alias("sentence")).agg(
-        F.first(F.substring(F.col("text"), F.col("_span.s") + 1, F.col("_span.e") - F.col("_span.s"))).alias("text"),
-        F.min("start").alias("start"),
-        F.max(F.when(F.col("char") != " ", F.col("end"))).alias("end"),
+    rows = sentence_characters(segments, keys).join(chars.select(*keys, "cdx", "char", "start", "end"), [*keys, "cdx"])
+    return rows.groupBy(*keys, "sentence").agg(
+        F.first("sentence_text").alias("text"), F.min("start").alias("start"), F.max(F.when(F.col("char") != " ", F.col("end"))).alias("end")
     )
 
 
-def sentence_words(chars: DataFrame, keys: list[str], spans: str = "spans") -> DataFrame:
+def sentence_words(chars: DataFrame, segments: DataFrame, keys: list[str]) -> DataFrame:
     """keys, sentence, word_idx, word, start, end, score: words rolled up within each sentence's characters."""
-    rows = chars.withColumn("_span", F.explode(F.transform(spans, lambda x, i: F.struct(i.alias("sentence"), x["s"].alias("s"), x["e"].alias("e")))))
-    rows = rows.where((F.col("cdx") >= F.col("_span.s")) & (F.col("cdx") <= F.col("_span.e"))).withColumn("sentence", F.col("_span.sentence"))
+    rows = sentence_characters(segments, keys).drop("sentence_text").join(chars, [*keys, "cdx"])
     return word_rollup(rows, [*keys, "sentence"])
 
 

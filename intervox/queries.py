@@ -330,20 +330,20 @@ rolled AS (SELECT recording_id, ord, sentence, substring(any_value(spans.text),
   FROM spans JOIN scored USING (recording_id, ord) WHERE cdx BETWEEN a AND z GROUP BY recording_id, ord, sentence)"""
 
 
-def _spanned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.scored_characters(spark, sf_dir).withColumn("spans", words.sentence_spans(F.col("text")))
+def _said(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return c.utterances(spark, sf_dir).select(*KEYS, "text")
 
 
 @query(f"""{SPANS} SELECT recording_id, ord, sentence, text, round(s, 9) AS "start", round(e, 9) AS "end" FROM rolled""")
 def sentence_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = words.sentence_rollup(_spanned(spark, sf_dir), KEYS)
+    rows = words.sentence_rollup(c.scored_characters(spark, sf_dir), _said(spark, sf_dir), KEYS)
     return rounded(rows.withColumn("sentence", F.col("sentence").cast("long")), "start", "end")
 
 
 @query(f"""{SPANS} SELECT recording_id, ord, min(sentence) AS sentence, round(s, 9) AS "start", round(e, 9) AS "end", string_agg(text, ' ' ORDER BY sentence) AS text
 FROM rolled WHERE s IS NOT NULL AND e IS NOT NULL GROUP BY recording_id, ord, s, e""")
 def sentence_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = words.merge_same_times(words.sentence_rollup(_spanned(spark, sf_dir), KEYS), KEYS)
+    rows = words.merge_same_times(words.sentence_rollup(c.scored_characters(spark, sf_dir), _said(spark, sf_dir), KEYS), KEYS)
     return rounded(rows.withColumn("sentence", F.col("sentence").cast("long")), "start", "end")
 
 
@@ -351,7 +351,7 @@ def sentence_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 round(min(s) FILTER (ch <> ' '), 9) AS "start", round(max(e) FILTER (ch <> ' '), 9) AS "end", round(avg(score) FILTER (ch <> ' '), 3) AS score
 FROM spans JOIN scored USING (recording_id, ord) WHERE cdx BETWEEN a AND z GROUP BY recording_id, ord, sentence, word_idx HAVING word <> ''""")
 def sentence_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = words.sentence_words(_spanned(spark, sf_dir), KEYS)
+    rows = words.sentence_words(c.scored_characters(spark, sf_dir), _said(spark, sf_dir), KEYS)
     return rounded(rows.withColumns({x: F.col(x).cast("long") for x in ("sentence", "word_idx")}), "start", "end")
 
 
