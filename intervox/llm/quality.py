@@ -1,7 +1,7 @@
 """Quality classifier: hierarchical empirical Bayes over documents, paths and hosts.
 
-A logistic model over native text features gives each document its evidence; its coefficients are fitted on a bounded
-sample of labelled rows (LABELLED). All documents' evidence is then averaged by host and by path: Beta priors fitted
+A logistic model over text statistics gives each document its evidence; the statistics are found in one pass over the
+texts, the coefficients fitted on a bounded sample of labelled rows (LABELLED). All documents' evidence is then averaged by host and by path: Beta priors fitted
 by moments shrink sparse paths toward their host and sparse hosts toward the global mean. The site's posterior replaces
 the global prior odds in the document's odds; a document's own evidence is left out of its site's.
 
@@ -18,10 +18,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_small, written
+from .common import fresh, join_small, slices, text_buffers, word_bounds, word_hashes, written
 
 #: Labelled rows that the document model is fitted on, at most.
 LABELLED = 20_000
@@ -29,29 +30,44 @@ THRESHOLD = 0.5
 #: Evidence is held within these log odds.
 MOST_EVIDENCE = 12.0
 SYMBOLS = "|*%$#&@^~<>{}[]\\/=+_`"
-
-
-def features(text: F.Column) -> dict[str, F.Column]:
-    """Text statistics; shares enter as log(1 + 1000 x), so that a few junk lines in a long text show."""
-    text = F.coalesce(text, F.lit(""))
-    chars = F.greatest(F.length(text), F.lit(1)).cast("double")
-    without = lambda chars_: F.length(text) - F.length(F.translate(text, chars_, ""))
-    matching = lambda pattern: F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
-    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
-    n = F.greatest(F.size(words), F.lit(1)).cast("double")
-    repeats = F.size(F.filter(F.arrays_zip(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words), F.lit(1)))), lambda x: x["0"] == x["1"]))
-    log = lambda x: F.log1p(1000 * x)
-    return {
-        "symbols": log(without(SYMBOLS) / chars),
-        "bangs": log(without("!?") / chars),
-        "digits": log(matching("[0-9]+") / chars),
-        "capitals": log(matching(r"\p{Lu}+") / chars),
-        "repeats": log(repeats / n),
-        "alike": log(1 - F.size(F.array_distinct(words)) / n),
-        "letters": matching(r"\p{L}+") / chars,
-        "word_length": F.log1p(F.length(text) / n),
-        "words": F.log1p(n),
-    }
+FEATURES = ["symbols", "bangs", "digits", "capitals", "repeats", "alike", "letters", "word_length", "words"]
+
+_SYMBOL = np.zeros(256, bool)
+_SYMBOL[[ord(x) for x in SYMBOLS]] = True
+
+
+def text_features(column: pa.Array) -> np.ndarray:
+    """A row of FEATURES for each text; shares enter as log(1 + 1000 x), so that a few junk lines in a long text show."""
+    raw, offsets = text_buffers(column)
+    out = np.zeros((len(offsets) - 1, len(FEATURES)), np.float32)
+    for first, last in slices(offsets):
+        part, at = raw[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+        starts, ends, before = word_bounds(part, at)
+        hashed = word_hashes(part, starts, ends)
+        same = np.r_[False, hashed[1:] == hashed[:-1]] if len(hashed) else np.zeros(0, bool)
+        same[before[:-1][before[:-1] < len(same)]] = False
+        total = lambda hit, cut=at: np.diff(np.r_[0, np.cumsum(hit)][cut])
+        follows = (part & 0xC0) == 0x80
+        accented = np.r_[False, part[:-1] == 0xC3] & (part >= 0x80) & (part <= 0x9E) & (part != 0x97)
+        chars = np.maximum(total(~follows), 1)
+        n = np.diff(before)
+        distinct = np.asarray([len(np.unique(hashed[a:b])) for a, b in zip(before[:-1], before[1:])])
+        often = np.maximum(n, 1)
+        letter = ((part | 0x20) >= 0x61) & ((part | 0x20) <= 0x7A) | (part >= 0xC0)
+        log = lambda x: np.log1p(1000 * x)
+        columns = (
+            log(total(_SYMBOL[part]) / chars),
+            log(total((part == 0x21) | (part == 0x3F)) / chars),
+            log(total((part >= 0x30) & (part <= 0x39)) / chars),
+            log(total((part >= 0x41) & (part <= 0x5A) | accented) / chars),
+            log(total(same, before) / often),
+            log((n - distinct) / often),
+            total(letter) / chars,
+            np.log1p(chars / often),
+            np.log1p(n),
+        )
+        out[first:last] = np.stack(columns, axis=1)
+    return out
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,22 +88,20 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
     return w, mean, scale
 
 
-def document_evidence(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labelled: int = LABELLED) -> tuple[F.Column, float]:
-    """The column of a document's log odds of good quality, and the share of good labels."""
-    good = labels.select(F.col("doc_id").cast("long").alias("_label_id"), F.col("quality").cast("int").alias("_good")).where("_good in (0, 1) and _label_id is not null")
-    sample = good.orderBy(F.xxhash64("_label_id", "_good"), "_label_id").limit(labelled)
-    terms = features(F.col(text_col))
-    rows = docs.join(F.broadcast(sample), docs[id_col] == F.col("_label_id")).limit(4 * labelled)
-    rows = rows.select("_good", *[x.cast("double").alias(name) for name, x in terms.items()]).toPandas()
-    y = rows.pop("_good").to_numpy(float) if len(rows) else np.zeros(0)
+def document_evidence(described: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> F.Column:
+    """The column of a document's log odds of good quality, over the columns FEATURES."""
+    good = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("good")).where("good in (0, 1) and doc_id is not null")
+    sample = good.orderBy(F.xxhash64("doc_id", "good"), "doc_id").limit(labelled)
+    rows = described.join(F.broadcast(sample), "doc_id").select("good", *FEATURES).limit(4 * labelled).toPandas()
+    y = rows.pop("good").to_numpy(float)
     if len(y) == 0 or y.min() == y.max():
         share = float(y.mean()) if len(y) else 1.0
-        return F.lit(float(np.clip(_logit(share), -MOST_EVIDENCE, MOST_EVIDENCE))), share
+        return F.lit(float(np.clip(_logit(share), -MOST_EVIDENCE, MOST_EVIDENCE)))
     w, mean, scale = fit_logistic(rows.to_numpy(float), y)
     odds = F.lit(float(w[0]))
-    for c, m, s, x in zip(w[1:], mean, scale, terms.values()):
-        odds = odds + F.lit(float(c / s)) * (x - F.lit(float(m)))
-    return F.greatest(F.lit(-MOST_EVIDENCE), F.least(F.lit(MOST_EVIDENCE), odds)), float(y.mean())
+    for c, m, s, name in zip(w[1:], mean, scale, FEATURES):
+        odds = odds + F.lit(float(c / s)) * (F.col(name) - F.lit(float(m)))
+    return F.greatest(F.lit(-MOST_EVIDENCE), F.least(F.lit(MOST_EVIDENCE), odds))
 
 
 def _logit(p: float) -> float:
@@ -108,39 +122,52 @@ def _strength(groups: DataFrame, mean: F.Column) -> float:
     return min(max(r["total"] / r["n"] / variance - 1, 1.0), 1e4)
 
 
-def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang") -> DataFrame:
-    """All columns of docs, and _doc_score, _host_score, _path_score and _score."""
-    spark = docs.sparkSession
-    odds, prior = document_evidence(docs, labels, id_col, text_col)
-    has_words = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    site = [F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("_host"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("_path")]
-    rows = docs.select("*", *site, F.when(has_words, odds).otherwise(F.lit(-MOST_EVIDENCE)).alias("_odds"), has_words.alias("_words"))
-    p = 1 / (1 + F.exp(-F.col("_odds")))
-    paths = written(rows.withColumn("_p", p).groupBy("_host", "_path").agg(F.count("*").alias("n"), F.sum("_p").alias("s")), "paths")
+def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang") -> DataFrame:
+    """doc_id, row_key, host, path, n_words and FEATURES of each row of docs, written: the one pass over the texts."""
+    site = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((host_col, "host"), (path_col, "path"))]
+    names = ["doc_id", "row_key", "host", "path"]
+
+    def describe(batches):
+        for batch in batches:
+            x = text_features(batch.column(4))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *[pa.array(x[:, i]) for i in range(len(FEATURES))]], names=[*names, *FEATURES])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_key"), *site, F.col(text_col).alias("text"))
+    return written(rows.mapInArrow(describe, f"doc_id long, row_key long, host string, path string, {', '.join(f'{x} float' for x in FEATURES)}"), "described")
+
+
+def scored(docs: DataFrame, labels: DataFrame, **cols) -> DataFrame:
+    """doc_id, row_key, host, path, doc_score, host_score, path_score, score: one row for each row of docs."""
+    rows = described(docs, **cols)
+    rows = rows.withColumn("odds", F.when(F.col("words") > 0, document_evidence(rows, labels)).otherwise(F.lit(-MOST_EVIDENCE)))
+    p = 1 / (1 + F.exp(-F.col("odds")))
+    paths = written(rows.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(p).alias("s")), "paths")
     whole = paths.agg(F.sum("n"), F.sum("s")).first()
     mu = min(max((whole[1] or 0.0) / max(whole[0] or 0, 1), 1e-3), 1 - 1e-3)
-    hosts = written(paths.groupBy("_host").agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s")), "hosts")
+    hosts = written(paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s")), "hosts")
     k_host = _strength(hosts.select(F.col("host_n").alias("n"), F.col("host_s").alias("s")), F.lit(mu))
-    sites = paths.join(hosts.hint("merge"), "_host")
+    sites = paths.join(hosts.hint("merge"), "host")
     k_path = _strength(sites, (k_host * mu + F.col("host_s")) / (k_host + F.col("host_n")))
-    rows = join_small(rows, written(sites, "sites"), ["_host", "_path"], "inner")
-    p = 1 / (1 + F.exp(-F.col("_odds")))
-    host = (k_host * mu + F.greatest(F.lit(0.0), F.col("host_s") - p)) / (k_host + F.col("host_n") - 1)
-    rows = rows.withColumn("_doc_score", p).withColumn("_host_score", host)
-    path = (k_path * F.col("_host_score") + F.greatest(F.lit(0.0), F.col("s") - p)) / (k_path + F.col("n") - 1)
-    rows = rows.withColumn("_path_score", F.least(F.lit(1 - 1e-6), F.greatest(F.lit(1e-6), path)))
-    shift = F.ln(F.col("_path_score") / (1 - F.col("_path_score"))) - F.lit(_logit(mu))
-    score = F.when(F.col("_words"), 1 / (1 + F.exp(-(F.col("_odds") + shift)))).otherwise(F.lit(0.0))
-    return rows.withColumn("_score", score).select(*[rows[c] for c in docs.columns], "_doc_score", "_host_score", "_path_score", "_score")
+    rows = join_small(rows, written(sites, "sites"), ["host", "path"], "inner").withColumn("doc_score", p)
+    host = (k_host * mu + F.greatest(F.lit(0.0), F.col("host_s") - F.col("doc_score"))) / (k_host + F.col("host_n") - 1)
+    rows = rows.withColumn("host_score", host)
+    path = (k_path * F.col("host_score") + F.greatest(F.lit(0.0), F.col("s") - F.col("doc_score"))) / (k_path + F.col("n") - 1)
+    rows = rows.withColumn("path_score", F.least(F.lit(1 - 1e-6), F.greatest(F.lit(1e-6), path)))
+    shift = F.ln(F.col("path_score") / (1 - F.col("path_score"))) - F.lit(_logit(mu))
+    score = F.when(F.col("words") > 0, 1 / (1 + F.exp(-(F.col("odds") + shift)))).otherwise(F.lit(0.0))
+    return rows.withColumn("score", score).select("doc_id", "row_key", "host", "path", "doc_score", "host_score", "path_score", "score")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **cols) -> DataFrame:
     """doc_id, doc_score, host_score, path_score, score, keep: one row for each row of docs."""
-    names = ["_doc_score", "_host_score", "_path_score", "_score"]
-    out = scored(docs, labels, **cols)
-    return out.select(F.col(cols.get("id_col", "doc_id")).alias("doc_id"), *[F.col(x).alias(x[1:]) for x in names], (F.col("_score") >= threshold).alias("keep"))
+    return scored(docs, labels, **cols).select("doc_id", "doc_score", "host_score", "path_score", "score", (F.col("score") >= threshold).alias("keep"))
 
 
-def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **cols) -> DataFrame:
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang") -> DataFrame:
     """The rows of docs that the classifier keeps, with all their columns."""
-    return scored(docs, labels, **cols).where(F.col("_score") >= threshold).select(*docs.columns)
+    key = lambda *parts: F.concat_ws("\0", *[F.coalesce(x.cast("string"), F.lit("null")) for x in parts])
+    site = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (host_col, path_col)]
+    good = scored(docs, labels, id_col=id_col, text_col=text_col, host_col=host_col, path_col=path_col).where(F.col("score") >= threshold)
+    name = fresh(docs, "_key")
+    good = good.select(key(F.col("doc_id"), F.col("row_key"), F.col("host"), F.col("path")).alias(name))
+    return docs.withColumn(name, key(F.col(id_col), F.xxhash64(text_col), *site)).join(good, name, "left_semi").drop(name)
