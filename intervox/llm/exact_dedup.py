@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, written
+from .common import fresh, mix64, written
 
 #: Distinct digests of a snapshot or batch that share one filter.
 KEYS_PER_FILTER = 200_000
@@ -183,6 +183,7 @@ def exact_dedup(docs: DataFrame, arrived: F.Column | None = None, id_col: str =
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that exact_dedup keeps, with all their columns."""
     key = lambda ident, digest: F.concat_ws(":", digest, F.coalesce(ident.cast("string"), F.lit("null")))
-    kept = exact_dedup(docs, None, id_col, text_col).where("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias("_key"))
-    rows = docs.withColumn("_key", key(F.col(id_col), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
-    return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    name = fresh(docs, "_key")
+    kept = exact_dedup(docs, None, id_col, text_col).where("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias(name))
+    rows = docs.withColumn(name, key(F.col(id_col), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
+    return rows.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)

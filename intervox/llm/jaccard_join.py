@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, gram_hashes, join_small, mix64, partitions, slices, sorted_groups, text_buffers, word_bounds, word_hashes, written
+from .common import components, fresh, gram_hashes, join_small, mix64, partitions, slices, sorted_groups, text_buffers, word_bounds, word_hashes, written
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
 SMALL, DEPTH = 64, 3
@@ -296,6 +296,7 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """The rows of docs with one row of each class, that of the smallest doc_id, with all their columns."""
     kept = jaccard_classes(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     key = lambda ident, digest: F.concat_ws(":", F.hex(digest), F.coalesce(ident.cast("string"), F.lit("null")))
-    kept = kept.groupBy("class_id").agg(F.min(key(F.col("doc_id"), F.col("row_digest"))).alias("_key")).select("_key")
-    rows = docs.withColumn("_key", key(F.col(id_col), F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))))
-    return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    name = fresh(docs, "_key")
+    kept = kept.groupBy("class_id").agg(F.min(key(F.col("doc_id"), F.col("row_digest"))).alias(name)).select(name)
+    rows = docs.withColumn(name, key(F.col(id_col), F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))))
+    return rows.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)

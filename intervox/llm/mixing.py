@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fresh, written
 
 #: Documents of one flight group, and the most copies of a document.
 GROUP, MOST_COPIES = 4096, 3
@@ -141,7 +141,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of docs, each as often as the mix takes it."""
     taken = mix(docs, id_col, text_col, source_col).where("copies > 0")
     key = lambda ident, row, src: F.concat_ws(":", F.coalesce(ident.cast("string"), F.lit("null")), row.cast("string"), F.coalesce(src, F.lit("\0")))
-    taken = taken.select(key(F.col("doc_id"), F.col("row_key"), F.col("source")).alias("_key"), "copies").distinct()
-    rows = docs.withColumn("_key", key(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.col(source_col)))
-    out = rows.join(taken, "_key").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return out.select(*[out[c] for c in docs.columns])
+    name = fresh(docs, "_key")
+    taken = taken.select(key(F.col("doc_id"), F.col("row_key"), F.col("source")).alias(name), F.sequence(F.lit(1), F.col("copies")).alias("_times")).distinct()
+    rows = docs.withColumn(name, key(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.col(source_col))).alias("r")
+    out = rows.join(taken.alias("t"), name).select("r.*", F.explode("t._times").alias(fresh(docs, "_copy")))
+    return out.select(*docs.columns)
