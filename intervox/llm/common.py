@@ -175,7 +175,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of edges (a, b): the smallest node of its connected component.
 
     Each round points every node to its smallest neighbour and contracts the edges by that; the tables of a round are
-    written, and hot nodes are joined by sort-merge, whose skewed keys Spark splits.
+    written; beyond join_small's bound hot nodes are joined by sort-merge, whose skewed keys Spark splits.
     """
     steps = []
     edges = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "edges")
@@ -183,14 +183,14 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label"))
         steps.append(step := written(step, "step"))
-        ends = step.select(F.col("node").alias("a"), F.col("label").alias("to_a")).hint("merge")
-        other = step.select(F.col("node").alias("b"), F.col("label").alias("to_b")).hint("merge")
-        moved = edges.join(ends, "a").join(other, "b").select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
+        moved = join_small(edges, step.select(F.col("node").alias("a"), F.col("label").alias("to_a")), ["a"], "inner")
+        moved = join_small(moved, step.select(F.col("node").alias("b"), F.col("label").alias("to_b")), ["b"], "inner")
+        moved = moved.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
         edges = written(moved.where("a < b").distinct(), "edges")
         if edges.isEmpty():
             break
     labels = steps[0]
     for step in steps[1:]:
-        nxt = step.select(F.col("node").alias("label"), F.col("label").alias("next")).hint("merge")
-        labels = written(labels.join(nxt, "label", "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
+        nxt = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        labels = written(join_small(labels, nxt, ["label"], "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
     return labels

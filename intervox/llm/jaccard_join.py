@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from .common import components, fresh, gram_hashes, join_small, mix64, partitions, slices, sorted_groups, text_buffers, word_bounds, word_hashes, written
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
-SMALL, DEPTH = 64, 3
+DEPTH = 3
+#: Sets of a bucket that are compared at once: to here, comparing their sketches costs less than sending them on.
+SMALL = 2048
 #: Sketch bins; estimates from which sets are linked, and from which one can be left to its leader.
 BINS, LINK, LEADER = 128, 0.45, 0.9
 #: Sets of one bucket part, and of one verification tile.
@@ -159,15 +161,16 @@ def _buckets(sets: DataFrame) -> DataFrame:
     brute = None
     for level in range(1, DEPTH + 1):
         counts = written(rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "counts")
-        shared = written(rows.join(counts.hint("merge"), "path").select("path", "n", "rep"), f"shared{level}")
-        done = shared if level == DEPTH else shared.where(F.col("n") <= SMALL)
+        shared = written(join_small(rows, counts, ["path"], "inner").select("path", "n", "rep"), f"shared{level}")
+        last = level == DEPTH or counts.where(F.col("n") > SMALL).isEmpty()
+        done = shared if last else shared.where(F.col("n") <= SMALL)
         brute = done if brute is None else brute.unionByName(done)
-        if level < DEPTH:
-            large = shared.where(F.col("n") > SMALL).select("rep", F.col("path").alias("above"))
-            trees = sets.select("rep", f"level{level}", F.explode(f"level{level + 1}").alias("node"))
-            trees = trees.select("rep", F.get(F.col(f"level{level}.path"), F.col("node.parent")).alias("above"), F.col("node.path").alias("path"))
-            rows = large.join(trees.hint("merge"), ["rep", "above"]).select("rep", "path")
-    return brute
+        if last:
+            return brute
+        large = shared.where(F.col("n") > SMALL).select("rep", F.col("path").alias("above"))
+        trees = sets.select("rep", f"level{level}", F.explode(f"level{level + 1}").alias("node"))
+        trees = trees.select("rep", F.get(F.col(f"level{level}.path"), F.col("node.parent")).alias("above"), F.col("node.path").alias("path"))
+        rows = large.join(trees.hint("merge"), ["rep", "above"]).select("rep", "path")
 
 
 def _candidate_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
@@ -205,7 +208,7 @@ def _candidate_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
         if last or again.isEmpty():
             return links
         sizes = written(again.groupBy("path").agg(F.count("*").alias("n")), "sizes")
-        rows = again.join(sizes.hint("merge"), "path")
+        rows = join_small(again, sizes, ["path"], "inner")
     return links
 
 
@@ -279,17 +282,17 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = verified.groupBy("rep").agg(F.min("label").alias("label"), F.sum("links").alias("links"), F.max("tiled").alias("tiled"))
     if not verified.where("tiled").isEmpty():
         joined = components(verified.where("tiled").select(F.col("rep").alias("a"), F.col("label").alias("b")))
-        joined = joined.select(F.col("node").alias("rep"), F.col("label").alias("whole")).hint("merge")
-        classes = classes.join(joined, "rep", "left").withColumn("label", F.coalesce("whole", "label"))
+        joined = joined.select(F.col("node").alias("rep"), F.col("label").alias("whole"))
+        classes = join_small(classes, joined, ["rep"], "left").withColumn("label", F.coalesce("whole", "label"))
     classes = written(classes.select("rep", "label", "links"), "classes")
-    members = sets.select("digest", "doc_id", "rep").join(classes.hint("merge"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    members = join_small(sets.select("digest", "doc_id", "rep"), classes, ["rep"], "left").withColumn("label", F.coalesce("label", "rep"))
     if not named:
         least = written(members.groupBy("label").agg(F.min("doc_id").alias("least")), "least")
-        members = members.join(least.hint("merge"), "label").withColumn("label", F.col("least"))
+        members = join_small(members, least, ["label"], "inner").withColumn("label", F.col("least"))
     members = written(members.select("digest", F.col("label").alias("class_id"), "links"), "members")
     copies = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
-    texts = written(copies.join(members.hint("merge"), "digest", "left").select("digest", F.coalesce("class_id", "first_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"), "n_copies"), "texts")
-    return rows.select("doc_id", "digest").join(texts.hint("merge"), "digest").select("doc_id", "class_id", "n_links", "n_copies", F.col("digest").alias("row_digest"))
+    texts = written(join_small(copies, members, ["digest"], "left").select("digest", F.coalesce("class_id", "first_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"), "n_copies"), "texts")
+    return join_small(rows.select("doc_id", "digest"), texts, ["digest"], "inner").select("doc_id", "class_id", "n_links", "n_copies", F.col("digest").alias("row_digest"))
 
 
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
