@@ -50,4 +50,6 @@ def srt_text(segments: DataFrame, include_speaker: bool = True) -> DataFrame:
 
 def write_srt(segments: DataFrame, folder: str, include_speaker: bool = True) -> None:
     """One folder recording_id=<id> with the subtitle text for each recording."""
-    srt_text(segments, include_speaker).select("recording_id", F.col("srt").alias("value")).write.mode("overwrite").partitionBy("recording_id").text(folder, lineSep="")
+    # The writer ends the line that is the whole text, so the text's own last line end goes.
+    value = F.expr("left(srt, length(srt) - 1)").alias("value")
+    srt_text(segments, include_speaker).select("recording_id", value).write.mode("overwrite").partitionBy("recording_id").text(folder)

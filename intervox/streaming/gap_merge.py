@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 OUT = "recording_id string, ord long, start double, end double, speaker string"
 
 
-def stream_gap_merge(segments: DataFrame, threshold: float, timeout_ms: int = 60_000) -> DataFrame:
+def stream_gap_merge(segments: DataFrame, threshold: float, timeout_ms: int | None = None) -> DataFrame:
     """Merged segments, in append mode, of a stream of (recording_id, ord, start, end, speaker)."""
 
     def merge(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
@@ -34,9 +34,10 @@ def stream_gap_merge(segments: DataFrame, threshold: float, timeout_ms: int = 60
                     done.append((key[0], *now))
                 now = [int(ord_), float(start), float(end), speaker]
         state.update(tuple(now))
-        state.setTimeoutDuration(timeout_ms)
+        if timeout_ms is not None:
+            state.setTimeoutDuration(timeout_ms)
         if done:
             yield pd.DataFrame(done, columns=columns)
 
     keyed = segments.selectExpr("cast(recording_id as string) recording_id", "cast(ord as long) ord", "start", "end", "speaker")
-    return keyed.groupBy("recording_id").applyInPandasWithState(merge, OUT, "ord long, start double, end double, speaker string", "append", "ProcessingTimeTimeout")
+    return keyed.groupBy("recording_id").applyInPandasWithState(merge, OUT, "ord long, start double, end double, speaker string", "append", "NoTimeout" if timeout_ms is None else "ProcessingTimeTimeout")
