@@ -132,6 +132,18 @@ def _unpacked(x: bytes, kind) -> np.ndarray:
     return np.frombuffer(_CODEC.decompress(x[4:], decompressed_size=size, asbytes=True), kind) if size else np.zeros(0, kind)
 
 
+def pack_hashes(x: np.ndarray) -> bytes:
+    """Seven bytes of each hash: within a group of GROUP suffixes they tell nodes apart but for 2**-35 of them."""
+    return x.view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+
+
+def unpack_hashes(x: bytes) -> np.ndarray:
+    raw = np.frombuffer(x, np.uint8).reshape(-1, 7)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :7] = raw
+    return out.view(np.uint64).ravel()
+
+
 def pack_places(ids: np.ndarray, tags: np.ndarray, pos: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
     """Places in the order of their documents: ids as differences, tags and counts a document, positions a place."""
     cut = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])]) if len(ids) else np.zeros(0, int)
@@ -206,7 +218,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
             cut = np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]]) if len(grp) else []
             for a, b in zip(cut, [*cut[1:], len(grp)]):
                 own = kept[a:b]
-                yield _row(int(grp[a]), None, hashes[own].tobytes(), pack_places(ids[own], chunk.tags[chunk.doc[own]], chunk.pos[own]))
+                yield _row(int(grp[a]), None, pack_hashes(hashes[own]), pack_places(ids[own], chunk.tags[chunk.doc[own]], chunk.pos[own]))
 
     def meet(batches):
         for table in sorted_groups(batches, ["grp"]):
@@ -216,7 +228,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
             table = table.filter(pc.is_null(table["bucket"]))
             if not table.num_rows:
                 continue
-            hashes = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["hashes"]])
+            hashes = np.concatenate([unpack_hashes(x.as_buffer()) for x in table["hashes"]])
             parts = [unpack_places(*x) for x in zip(*[table[c].to_pylist() for c in PLACES])]
             ids, tags, pos = (np.concatenate(x) for x in zip(*parts))
             late = ids > node_minima(hashes, ids)
