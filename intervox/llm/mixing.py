@@ -85,7 +85,7 @@ def land(p: list[float], size: list[float], waiting: list[int]) -> None:
 
 
 def _round(units: DataFrame, last: bool) -> DataFrame:
-    def fly(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fly(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "row_key", "size"], na_position="last", kind="stable")
         p, size = pdf["p"].tolist(), pdf["size"].astype(float).tolist()
         waiting = flight(p, size, random.Random(f"{key[0]}/{key[1]}/{len(p)}"))
