@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import partitions, written
 
 SCALE, LEVEL, K = 256, 16, 5
-#: Vectors of a shard, queries of a block.
-SHARD, BLOCK = 8192, 4096
+#: Components of a shard; queries of a block, at most and, where there are fewer tasks than partitions, at least.
+SHARD, BLOCK, LEAST_BLOCK = 1 << 22, 4096, 64
 #: Share of a shard that may be left to exact rescoring, and the points at which it is tested.
 POSSIBLE = 1 / 16
-TESTS = (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.95)
+TESTS = (0.3, 0.5, 0.7, 0.8, 0.9, 0.95)
 
 _INDEX = "shard long, dim int, level long, ids binary, impacts binary"
 
@@ -51,13 +51,14 @@ def build_index(vectors: DataFrame, shards: int) -> DataFrame:
         x, ids, shard = _matrix(table["q"]), table["vec_id"].to_numpy(), table["shard"][0].as_py()
         order = np.argsort(ids, kind="stable")
         x, ids = x[order], ids[order]
+        kind = np.int32 if np.abs(x).max(initial=0) < 1 << 31 else np.int64
         out = [(shard, -1, 0, ids.astype(np.int64).tobytes(), b"")]
         for d in range(x.shape[1]):
             level = np.floor_divide(x[:, d], LEVEL)
             by = np.argsort(-level, kind="stable")
             cut = np.flatnonzero(np.r_[True, np.diff(level[by]) != 0])
             for a, b in zip(cut, [*cut[1:], len(by)]):
-                out.append((shard, d, int(level[by[a]]), by[a:b].astype(np.int32).tobytes(), x[by[a:b], d].astype(np.int64).tobytes()))
+                out.append((shard, d, int(level[by[a]]), by[a:b].astype(np.int32).tobytes(), x[by[a:b], d].astype(kind).tobytes()))
         types = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["shard", "dim", "level", "ids", "impacts"])
 
@@ -82,9 +83,9 @@ class Shard:
         rows = sorted((r for r in rows if r[0] >= 0), key=lambda r: (r[0], r[1]))
         self.dim = np.asarray([r[0] for r in rows])
         self.ids = [np.frombuffer(r[2], np.int32) for r in rows]
-        self.impacts = [np.frombuffer(r[3], np.int64) for r in rows]
-        self.low = np.asarray([x.min() for x in self.impacts])
-        self.high = np.asarray([x.max() for x in self.impacts])
+        self.impacts = [np.frombuffer(r[3], np.int32 if len(r[3]) == len(r[2]) else np.int64) for r in rows]
+        self.low = np.asarray([x.min() for x in self.impacts], np.int64)
+        self.high = np.asarray([x.max() for x in self.impacts], np.int64)
         self.vectors = np.zeros((len(self.vec_ids), int(self.dim.max()) + 1), np.int64)
         for d, ids, x in zip(self.dim, self.ids, self.impacts):
             self.vectors[ids, d] = x
@@ -132,7 +133,8 @@ class Shard:
 
 def search(index: DataFrame, queries: DataFrame, shards: int, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score, processed: the k best of every query (vec_id, q) over all shards of the index."""
-    blocks = max(1, -(-queries.count() // BLOCK))
+    asked = queries.count()
+    blocks = max(1, -(-asked // BLOCK), min(-(-asked // LEAST_BLOCK), -(-partitions(queries.sparkSession) // shards)))
     asked = queries.select(F.col("vec_id").alias("query_id"), "q", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     held = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
@@ -155,5 +157,6 @@ def search(index: DataFrame, queries: DataFrame, shards: int, k: int = K) -> Dat
 def top_k(vectors: DataFrame, is_query: F.Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score, processed for the rows of vectors where is_query holds."""
     rows = written(quantised(vectors, id_col, vector_col), "vectors")
-    shards = max(1, -(-rows.count() // SHARD))
+    n, dims = rows.agg(F.count("*"), F.max(F.size("q"))).first()
+    shards = max(1, -(-n * (dims or 0) // SHARD))
     return search(written(build_index(rows, shards), "index"), rows.where(is_query), shards, k)

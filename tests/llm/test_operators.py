@@ -140,7 +140,7 @@ def test_exact_dedup_odd_rows(spark):
 # ----------------------------------------------------------------- 3 top-k search
 
 
-@pytest.mark.parametrize("shard, block", [(8192, 4096), (40, 3)])
+@pytest.mark.parametrize("shard, block", [(1 << 22, 4096), (40 * 8, 3)])
 def test_top_k(spark, monkeypatch, shard, block):
     monkeypatch.setattr(topk_search, "SHARD", shard)
     monkeypatch.setattr(topk_search, "BLOCK", block)
