@@ -265,10 +265,11 @@ def _verified(groups: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
-    """doc_id, class_id, n_links, n_copies, row_digest: one row for each row of docs.
+    """doc_id, class_id, n_links, n_copies, row_digest, class_key: one row for each row of docs.
 
     class_id is the smallest doc_id of the documents that links and equality connect; n_links counts the other texts
-    within the threshold of the document's text, n_copies the rows of its text.
+    within the threshold of the document's text, n_copies the rows of its text. class_key tells classes apart also where
+    doc_ids are null or repeat and several classes have one class_id; it is null for a text without words, a class by itself.
     """
     sets = _sets(docs, id_col, text_col, runs_for(recall))
     # doc_ids name texts, unless one is null or has several texts.
@@ -286,13 +287,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         classes = join_small(classes, joined, ["rep"], "left").withColumn("label", F.coalesce("whole", "label"))
     classes = written(classes.select("rep", "label", "links"), "classes")
     members = join_small(sets.select("digest", "doc_id", "rep"), classes, ["rep"], "left").withColumn("label", F.coalesce("label", "rep"))
-    if not named:
-        least = written(members.groupBy("label").agg(F.min("doc_id").alias("least")), "least")
-        members = join_small(members, least, ["label"], "inner").withColumn("label", F.col("least"))
-    members = written(members.select("digest", F.col("label").alias("class_id"), "links"), "members")
+    if named:
+        members = members.withColumn("class_id", F.col("label"))
+    else:
+        least = written(members.groupBy("label").agg(F.min("doc_id").alias("class_id")), "least")
+        members = join_small(members, least, ["label"], "inner")
+    members = written(members.select("digest", "class_id", F.col("label").alias("class_key"), "links"), "members")
     copies = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
-    texts = written(join_small(copies, members, ["digest"], "left").select("digest", F.coalesce("class_id", "first_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"), "n_copies"), "texts")
-    return join_small(rows.select("doc_id", "digest"), texts, ["digest"], "inner").select("doc_id", "class_id", "n_links", "n_copies", F.col("digest").alias("row_digest"))
+    texts = written(join_small(copies, members, ["digest"], "left").select("digest", F.coalesce("class_id", "first_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"), "n_copies", "class_key"), "texts")
+    return join_small(rows.select("doc_id", "digest"), texts, ["digest"], "inner").select("doc_id", "class_id", "n_links", "n_copies", F.col("digest").alias("row_digest"), "class_key")
 
 
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -300,6 +303,7 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     kept = jaccard_classes(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     key = lambda ident, digest: F.concat_ws(":", F.hex(digest), F.coalesce(ident.cast("string"), F.lit("null")))
     name = fresh(docs, "_key")
-    kept = kept.groupBy("class_id").agg(F.min(key(F.col("doc_id"), F.col("row_digest"))).alias(name)).select(name)
+    wordless = F.when(F.col("class_key").isNull(), F.col("row_digest"))
+    kept = kept.groupBy("class_key", wordless).agg(F.min(key(F.col("doc_id"), F.col("row_digest"))).alias(name)).select(name)
     rows = docs.withColumn(name, key(F.col(id_col), F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))))
     return rows.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)

@@ -295,6 +295,17 @@ def test_jaccard_odd_rows(spark):
     assert jaccard_join.jaccard_classes(df.limit(0)).count() == 0
 
 
+def test_unrelated_texts_stay_where_ids_are_null_or_repeat(spark):
+    long = " ".join(f"t{i}" for i in range(60))
+    alone = ["a b", "other words in here now", "some more words that are alone", "nothing like the rest of these", "  ", None]
+    df = documents(spark, [long, long + " end", long, *alone, "a b", "last of all these texts"], ids=[5, 5, None, 5, None, None, 5, None, 5, 5, 7])
+    one = Counter(r["text"] for r in jaccard_join.one_of_each_class(df).collect())
+    assert one.pop(long, 0) + one.pop(long + " end", 0) == 1
+    assert one == Counter([*alone, "last of all these texts"])
+    keys = {r["class_key"] for r in jaccard_join.jaccard_classes(df).where("class_key is not null").collect()}
+    assert len(keys) == 6
+
+
 def test_linking_through_leaders_keeps_groups_whole():
     rng = np.random.default_rng(3)
     base = np.sort(rng.integers(0, 2**63, 300, dtype=np.uint64))
