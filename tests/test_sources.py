@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from intervox import providers
+from intervox.operators import clustering
 from intervox.operators.clustering import spectral_labels, speakers_wanted
 from intervox.plans.transcription import Config, clip_plan, outputs, speech, transcribe_files
 from intervox.sources import audio, logs, models, rttm, srt
@@ -142,3 +143,27 @@ def test_command_line(spark, tmp_path):
     assert main(["segments", str(tmp_path), "-o", str(tmp_path / "out")]) == 0
     with pytest.raises(SystemExit):
         main(["segments", str(tmp_path / "none"), "-o", "x"])
+
+
+def test_a_recording_beyond_the_held_windows_is_clustered_whole(spark):
+    n = clustering.MOST_WINDOWS + 200
+    who = np.arange(n) * 2 // n
+    who[np.setdiff1d(np.arange(n), np.linspace(0, n - 1, clustering.MOST_WINDOWS).astype(int))] = 2  # heard only between evenly spaced windows
+    x = np.eye(3, 8)[who] * 6 + np.random.default_rng(4).standard_normal((n, 8)) * 0.3
+    rows = spark.createDataFrame([("r", i, v.tolist()) for i, v in enumerate(x)], "recording_id string, ord long, embedding array<double>")
+    got = [r["speaker"] for r in clustering.cluster_speakers(rows, number=3).orderBy("ord").collect()]
+    assert len(set(zip(who.tolist(), got))) == 3 and len(set(got)) == 3
+
+
+@pytest.mark.parametrize("kind", ["apart", "ties", "random"])
+def test_blocks_cluster_as_the_whole_matrix_does(monkeypatch, kind):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((300, 16))
+    if kind != "random":
+        x = np.eye(3, 16)[np.arange(300) % 7 % 3] * 6 + x * 0.5
+    if kind == "ties":
+        x = np.repeat(x[::10], 10, axis=0)
+    whole = spectral_labels(x, 3)
+    monkeypatch.setattr(clustering, "MOST_WINDOWS", 50)
+    monkeypatch.setattr(clustering, "BLOCK", 300 * 64)
+    assert (spectral_labels(x, 3) == whole).all()
