@@ -492,9 +492,9 @@ def provider_vad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def sing(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = []
+        tone = 0.3 * np.sin(2 * np.pi * 220 * (np.arange(int(16000 * 0.06 * pdf["n"].max())) / 16000))
         for n in pdf.sort_values("ord")["n"]:
-            t = np.arange(int(16000 * 0.06 * min(n, 50))) / 16000
-            parts += [0.3 * np.sin(2 * np.pi * 220 * t), np.zeros(16000)]
+            parts += [tone[: int(16000 * 0.06 * n)], np.zeros(16000)]
         return pd.DataFrame({"recording_id": [str(pdf["recording_id"].iloc[0])], "content": [encode_wav(np.concatenate(parts))]})
 
     said = c.utterances(spark, sf_dir).select("recording_id", "ord", F.length("text").alias("n"))
