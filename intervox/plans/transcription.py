@@ -73,11 +73,11 @@ def clip_plan(audio: DataFrame, segments: DataFrame | None, config: Config) -> D
     return chunks.select("recording_id", F.col("k").alias("ord"), "start", "end")
 
 
-def transcript(rows: DataFrame) -> DataFrame:
-    """A provider's segments with stripped text; missing columns are null."""
+def transcript(rows: DataFrame, timestamps: bool = True) -> DataFrame:
+    """A provider's segments with stripped text, and its words if it gives them and they are asked for; missing columns are null."""
     kinds = {"avg_logprob": "double", "compression_ratio": "double", "no_speech_prob": "double"}
     extra = [(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in kinds.items()]
-    return rows.select("recording_id", "ord", "start", "end", strip(F.col("text")).alias("text"), *extra)
+    return rows.select("recording_id", "ord", "start", "end", strip(F.col("text")).alias("text"), *extra, *(["words"] if timestamps and "words" in rows.columns else []))
 
 
 def align(segments: DataFrame, emissions: DataFrame, vocabulary: dict[str, int], durations: DataFrame | None = None, language: str = "de", beam: int | None = None) -> DataFrame:
@@ -120,7 +120,7 @@ def outputs(segments: DataFrame, config: Config, folder: str, speakers: DataFram
         logs.write_logs(logs.transcript_log(segments, config.language), f"{folder}/logs/{ident}/transcription")
         if speakers is not None:
             logs.write_logs(logs.vad_log(speakers), f"{folder}/logs/{ident}/vad_diarization")
-        if "words" in segments.columns:
+        if "words" in segments.columns and "score" in dict(segments.dtypes)["words"]:
             logs.write_logs(logs.alignment_log(segments), f"{folder}/logs/{ident}/alignment")
         if config.use_diarization and "speaker" in segments.columns:
             logs.write_logs(logs.speaker_log(segments), f"{folder}/logs/{ident}/speaker_alignment")
@@ -132,10 +132,17 @@ def realign_srt(spark: SparkSession, srt_path: str, emissions: DataFrame, vocabu
     return align(srt.read_srt(spark, srt_path), emissions, vocabulary, language=language)
 
 
-def transcribe_files(spark: SparkSession, path: str, transcriber, config: Config | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """(final segments, labelled speech) of audio files; transcriber(audio, clips, config) gives segment rows."""
+def transcribe_files(spark: SparkSession, path: str, transcriber, config: Config | None = None, emitter=None, vocabulary: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(final segments, labelled speech) of audio files; transcriber(audio, clips, config) gives segment rows.
+
+    emitter(audio, segments, config) gives recording_id, ord and emission over the vocabulary; with it, unless
+    config.use_alignment is off, the segments' words are those of the alignment in place of the transcriber's.
+    """
     config = config or Config()
     audio = read_audio(spark, path)
     labelled = speech(audio, config)
-    segments = transcript(transcriber(audio, clip_plan(audio, labelled, config), config))
+    segments = transcript(transcriber(audio, clip_plan(audio, labelled, config), config), config.word_timestamps)
+    if config.use_alignment and emitter is not None:
+        language = {"language": config.language} if config.language else {}
+        segments = align(segments.drop("words"), emitter(audio, segments, config), vocabulary, probe(audio), **language)
     return finish(segments, labelled, config), labelled

@@ -167,3 +167,20 @@ def test_blocks_cluster_as_the_whole_matrix_does(monkeypatch, kind):
     monkeypatch.setattr(clustering, "MOST_WINDOWS", 50)
     monkeypatch.setattr(clustering, "BLOCK", 300 * 64)
     assert (spectral_labels(x, 3) == whole).all()
+
+
+def test_run_keeps_the_words_and_aligns(spark, tmp_path):
+    wav(tmp_path / "a.wav", 16000, 1, 4.0)
+    vocabulary = {"<pad>": 0, "|": 1, "h": 2, "i": 3}
+    word = F.array(F.struct(F.lit("hi").alias("word"), F.lit(0.5).alias("start"), F.lit(1.0).alias("end"), F.lit(0.9).alias("probability")))
+    said = lambda files, clips, config: clips.withColumn("text", F.lit(" hi ")).withColumn("words", word)
+    frames = np.full((5, 4), -6.0)
+    frames[np.arange(5), [0, 2, 0, 3, 0]] = -0.1
+    emitter = lambda files, segments, config: segments.select("recording_id", "ord").withColumn("emission", F.lit(json.dumps(frames.tolist()))).withColumn("emission", F.from_json("emission", "array<array<double>>"))
+    plain = transcribe_files(spark, str(tmp_path), said, Config())[0].first()
+    assert plain["words"][0]["probability"] == 0.9
+    assert "words" not in transcribe_files(spark, str(tmp_path), said, Config(word_timestamps=False))[0].columns
+    aligned = transcribe_files(spark, str(tmp_path), said, Config(), emitter, vocabulary)[0].first()
+    assert [w["word"] for w in aligned["words"]] == ["hi"] and aligned["words"][0]["score"] is not None
+    off = transcribe_files(spark, str(tmp_path), said, Config(use_alignment=False), emitter, vocabulary)[0].first()
+    assert off["words"][0]["probability"] == 0.9
