@@ -133,15 +133,11 @@ def _unpacked(x: bytes, kind) -> np.ndarray:
 
 
 def pack_hashes(x: np.ndarray) -> bytes:
-    """Seven bytes of each hash: within a group of GROUP suffixes they tell nodes apart but for 2**-35 of them."""
-    return x.view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+    return x.tobytes()
 
 
 def unpack_hashes(x: bytes) -> np.ndarray:
-    raw = np.frombuffer(x, np.uint8).reshape(-1, 7)
-    out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :7] = raw
-    return out.view(np.uint64).ravel()
+    return np.frombuffer(x, np.uint64)
 
 
 def pack_places(ids: np.ndarray, tags: np.ndarray, pos: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:

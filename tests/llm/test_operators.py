@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -369,6 +370,11 @@ def test_frequent_prefixes_split_groups(spark):
     assert len(found[0]) >= 1 and len(found[1]) >= 2
 
 
+def test_hashes_travel_whole():
+    hashes = np.asarray([1, 1 + (1 << 56), (1 << 64) - 1], np.uint64)
+    assert (substring_dedup.unpack_hashes(pa.py_buffer(substring_dedup.pack_hashes(hashes))) == hashes).all()
+
+
 # ----------------------------------------------------------------------- 8 packing
 
 
