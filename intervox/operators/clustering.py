@@ -125,14 +125,20 @@ def _smallest(product, degrees: np.ndarray, k: int) -> np.ndarray:
             block, basis, image = block - basis @ (basis.T @ block), basis @ low, image @ low
 
 
-def cluster_speakers(windows: DataFrame, number: int | None = None, least: int | None = None, most: int | None = None) -> DataFrame:
-    """recording_id, ord, speaker ("spk<n>") of windows (recording_id, ord, embedding); too few windows is an error."""
+def cluster_speakers(windows: DataFrame, number: int | None = None, least: int | None = None, most: int | None = None, strict: bool = False) -> DataFrame:
+    """recording_id, ord, speaker ("spk<n>") of windows (recording_id, ord, embedding).
+
+    A recording of fewer windows than speakers at least has one speaker, so that it doesn't stop the others; strict
+    makes it an error.
+    """
     k, enough = speakers_wanted(number, least, most), max(2, least if least is not None else MIN_SPEAKERS)
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) < enough:
-            raise ValueError(f"{len(pdf)} windows are too few to cluster")
         pdf = pdf.sort_values("ord")
+        if len(pdf) < enough:
+            if strict:
+                raise ValueError(f"{len(pdf)} windows are too few to cluster")
+            return pd.DataFrame({"recording_id": pdf["recording_id"], "ord": pdf["ord"], "speaker": ["spk0"] * len(pdf)})
         x = np.stack([np.asarray(v, float) for v in pdf["embedding"]])
         labels = spectral_labels(x, k)
         return pd.DataFrame({"recording_id": pdf["recording_id"], "ord": pdf["ord"], "speaker": [f"spk{i}" for i in labels]})

@@ -13,31 +13,57 @@ SPACE, WILD = "|", "*"
 SENTENCE = r"[^.!?]*[.!?]+[\"')\]]*|[^.!?]+"
 
 
-def characters(segments: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, text, lead, trail, cdx, char: one row for each character; empty texts have none.
+def numbered_characters(text: Column, spaced: bool = True) -> Column:
+    """array<struct<char, word_idx>> of a text, in one pass; word_idx is the character's word.
 
-    lead and trail are the numbers of outer blanks, found once a text.
+    A space belongs to the word after it, but one that opens the text opens no word; unspaced, each character is a word.
     """
-    rows = segments.where(F.length("text") > 0).withColumns({"lead": leading_blanks(F.col("text")), "trail": trailing_blanks(F.col("text"))})
-    return rows.select(*keys, "text", "lead", "trail", F.posexplode(F.split("text", "")).alias("cdx", "char"))
+    if not spaced:
+        return F.transform(F.split(text, ""), lambda x, i: F.struct(x.alias("char"), i.alias("word_idx")))
+    first = F.when(F.startswith(text, F.lit(" ")), 1).otherwise(0)
+    pieces = F.transform(F.split(text, " "), lambda x, k: F.when(k == 0, x).otherwise(F.concat(F.lit(" "), x)))
+    # Only the piece before a first space can be empty; it has no characters.
+    one = lambda x, k: F.transform(F.split(x, ""), lambda y: F.struct(y.alias("char"), F.greatest(k - first, F.lit(0)).alias("word_idx")))
+    return F.filter(F.flatten(F.transform(pieces, one)), lambda x: x["char"] != "")
 
 
-def word_number(text: Column, cdx: Column, spaced: bool = True) -> Column:
-    """A space belongs to the word after it: the spaces at positions 1 to cdx; unspaced, each character is a word."""
-    if not spaced:
-        return cdx
-    head = F.substring(text, F.lit(2), cdx)
-    return F.length(head) - F.length(F.replace(head, F.lit(" "), F.lit("")))
+def characters(segments: DataFrame, keys: list[str], spaced: bool = True) -> DataFrame:
+    """keys, lead, last, cdx, char, word_idx: one row for each character; empty texts have none.
+
+    lead and last bound the characters between the outer blanks (last is the first one after them); rows carry no text.
+    """
+    # Two steps: what stands beside a generator in one select is found again for each of its rows.
+    rows = segments.where(F.length("text") > 0).select(
+        *keys,
+        leading_blanks(F.col("text")).alias("lead"),
+        (F.length("text") - trailing_blanks(F.col("text"))).alias("last"),
+        numbered_characters(F.col("text"), spaced).alias("_c"),
+    )
+    return rows.select(*keys, "lead", "last", F.posexplode("_c").alias("cdx", "_c")).select(*keys, "lead", "last", "cdx", "_c.char", "_c.word_idx")
+
+
+def clean_sign(char: Column, vocabulary: Column, spaced: bool = True) -> Column:
+    """A character as the vocabulary has it, else WILD."""
+    low = F.lower(char)
+    low = F.replace(low, F.lit(" "), F.lit(SPACE)) if spaced else low
+    return F.when(F.map_contains_key(vocabulary, low), low).otherwise(F.lit(WILD))
+
+
+def token_of(sign: Column, vocabulary: Column) -> Column:
+    return F.coalesce(F.element_at(vocabulary, sign), F.lit(-1))
 
 
 def clean_characters(chars: DataFrame, vocabulary: Column, spaced: bool = True) -> DataFrame:
     """Characters between the outer blanks, as the vocabulary has them: clean (or WILD) and token (or -1)."""
-    inner = (F.col("cdx") >= F.col("lead")) & (F.col("cdx") < F.length("text") - F.col("trail"))
-    low = F.lower("char")
-    low = F.replace(low, F.lit(" "), F.lit(SPACE)) if spaced else low
-    clean = F.when(F.map_contains_key(vocabulary, low), low).otherwise(F.lit(WILD))
-    rows = chars.where(inner).withColumn("clean", clean)
-    return rows.withColumn("token", F.coalesce(F.element_at(vocabulary, F.col("clean")), F.lit(-1)))
+    rows = chars.where((F.col("cdx") >= F.col("lead")) & (F.col("cdx") < F.col("last")))
+    return rows.withColumn("clean", clean_sign(F.col("char"), vocabulary, spaced)).withColumn("token", token_of(F.col("clean"), vocabulary))
+
+
+def clean_tokens(text: Column, vocabulary: Column, spaced: bool = True) -> Column:
+    """array<int>: the tokens of clean_characters, within the row."""
+    lead = leading_blanks(text)
+    inner = F.slice(F.split(text, ""), lead + 1, F.greatest(F.lit(0), F.length(text) - trailing_blanks(text) - lead))
+    return F.transform(inner, lambda x: token_of(clean_sign(x, vocabulary, spaced), vocabulary))
 
 
 def _joined(column: str = "char", order: str = "cdx") -> Column:
@@ -61,12 +87,12 @@ def interpolate(words: DataFrame, keys: list[str]) -> DataFrame:
 
     Zero counts as missing there; ends filled on the way serve the words after them.
     """
-    order = Window.partitionBy(*keys).orderBy("word_idx")
-    after = order.rowsBetween(1, Window.unboundedFollowing)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    # Both windows run up to the row before, one of them backward: a frame that ends with the partition is quadratic.
+    before = Window.partitionBy(*keys).orderBy("word_idx").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*keys).orderBy(F.desc("word_idx")).rowsBetween(Window.unboundedPreceding, -1)
     real = lambda c: F.when(F.col(c) != 0, F.col(c))
     lacks = F.col("start").isNull()
-    words = words.withColumn("_end", F.when(lacks, F.coalesce(F.first(real("start"), True).over(after), F.col("seg_end"))).otherwise(F.col("end")))
+    words = words.withColumn("_end", F.when(lacks, F.coalesce(F.last(real("start"), True).over(after), F.col("seg_end"))).otherwise(F.col("end")))
     start = F.when(lacks, F.coalesce(F.last(real("_end"), True).over(before), F.col("seg_start"))).otherwise(F.col("start"))
     return words.withColumn("_start", start).withColumn("start", F.col("_start")).withColumn("end", F.col("_end")).drop("_start", "_end")
 
@@ -89,31 +115,28 @@ def confidence(words: Column) -> Column:
     return F.when(F.size(scores) > 0, F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) / F.size(scores))
 
 
-def sentence_spans(text: Column) -> Column:
-    """array<struct<s, e>> of sentences: each ends with a run of . ! ? and what closes it, or with the text."""
-    ends = F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0))
-    pieces = F.filter(ends, lambda x: F.length(x) > 0)
-    at = F.aggregate(
-        pieces,
-        F.struct(F.lit(0).alias("pos"), F.array().cast("array<struct<s:int,e:int>>").alias("spans")),
-        lambda got, x: F.struct(
-            (got["pos"] + F.length(x)).alias("pos"),
-            F.concat(got["spans"], F.array(F.struct((got["pos"] + F.length(x) - F.length(F.regexp_replace(x, r"^\s+", ""))).cast("int").alias("s"), (got["pos"] + F.length(F.regexp_replace(x, r"\s+$", ""))).cast("int").alias("e")))).alias("spans"),
-        ),
-        lambda got: got["spans"],
-    )
-    return F.filter(at, lambda x: x["e"] > x["s"])
+def sentence_spans(segments: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, sentence, s, e, n_chars, sentence_text of segments (keys, text): each sentence's characters s to e, e not included.
+
+    A sentence ends with a run of . ! ? and what closes it, or with the text; its outer blanks aren't part of it.
+    """
+    pieces = F.filter(F.regexp_extract_all("text", F.lit(SENTENCE), F.lit(0)), lambda x: F.length(x) > 0)
+    rows = segments.select(*keys, F.length("text").alias("n_chars"), pieces.alias("_p"))
+    rows = rows.select(*keys, "n_chars", F.posexplode("_p").alias("_i", "_p"))
+    order = Window.partitionBy(*keys).orderBy("_i")
+    pos = F.coalesce(F.sum(F.length("_p")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lead = F.length("_p") - F.length(F.regexp_replace("_p", r"^\s+", ""))
+    last = F.length(F.regexp_replace("_p", r"\s+$", ""))
+    rows = rows.select(*keys, "n_chars", "_i", (pos + lead).cast("int").alias("s"), (pos + last).cast("int").alias("e"), F.substring(F.col("_p"), lead + 1, last - lead).alias("sentence_text"))
+    return rows.where("e > s").withColumn("sentence", F.row_number().over(order) - 1).select(*keys, "sentence", "s", "e", "n_chars", "sentence_text")
 
 
-def sentence_characters(segments: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, sentence, s, sentence_text, cdx of segments (keys, text): each sentence's characters s to e, e included.
+def sentence_characters(spans: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, sentence, cdx of sentence_spans: characters s to e, e included, so that the one after a sentence belongs to both.
 
-    The character after a sentence belongs to both; texts are half open. Meant for an equi-join with characters.
+    Meant for an equi-join with characters; rows carry no text.
     """
-    rows = segments.select(*keys, "text", F.posexplode(sentence_spans(F.col("text"))).alias("sentence", "span"))
-    text = F.substring(F.col("text"), F.col("span.s") + 1, F.col("span.e") - F.col("span.s"))
-    last = F.least(F.col("span.e"), F.length("text") - 1)
-    return rows.select(*keys, "sentence", text.alias("sentence_text"), F.explode(F.sequence(F.col("span.s"), last)).alias("cdx"))
+    return spans.select(*keys, "sentence", F.explode(F.sequence(F.col("s"), F.least(F.col("e"), F.col("n_chars") - 1))).alias("cdx"))
 
 
 def sentence_rollup(chars: DataFrame, segments: DataFrame, keys: list[str]) -> DataFrame:
@@ -121,31 +144,35 @@ def sentence_rollup(chars: DataFrame, segments: DataFrame, keys: list[str]) -> D
 
     The end skips spaces. A sentence without times has null.
     """
-    rows = sentence_characters(segments, keys).join(chars.select(*keys, "cdx", "char", "start", "end"), [*keys, "cdx"])
-    return rows.groupBy(*keys, "sentence").agg(
-        F.first("sentence_text").alias("text"), F.min("start").alias("start"), F.max(F.when(F.col("char") != " ", F.col("end"))).alias("end")
-    )
+    spans = sentence_spans(segments, keys)
+    rows = sentence_characters(spans, keys).join(chars.select(*keys, "cdx", "char", "start", "end"), [*keys, "cdx"])
+    times = rows.groupBy(*keys, "sentence").agg(F.min("start").alias("start"), F.max(F.when(F.col("char") != " ", F.col("end"))).alias("end"))
+    return times.join(spans.select(*keys, "sentence", F.col("sentence_text").alias("text")), [*keys, "sentence"]).select(*keys, "sentence", "text", "start", "end")
 
 
 def sentence_words(chars: DataFrame, segments: DataFrame, keys: list[str]) -> DataFrame:
     """keys, sentence, word_idx, word, start, end, score: words rolled up within each sentence's characters."""
-    rows = sentence_characters(segments, keys).drop("sentence_text").join(chars, [*keys, "cdx"])
+    rows = sentence_characters(sentence_spans(segments, keys), keys).join(chars, [*keys, "cdx"])
     return word_rollup(rows, [*keys, "sentence"])
 
 
 def nearest_fill(rows: DataFrame, keys: list[str], order: str, column: str) -> DataFrame:
     """Nulls of column take the nearest value by order, the one before on ties; without any they stay null."""
-    along = Window.partitionBy(*keys).orderBy(order)
-    before, after = along.rowsBetween(Window.unboundedPreceding, 0), along.rowsBetween(0, Window.unboundedFollowing)
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    after = Window.partitionBy(*keys).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
     value, place = F.col(column), F.when(F.col(column).isNotNull(), F.col(order))
     rows = rows.withColumn("_b", F.last(value, True).over(before)).withColumn("_bo", F.last(place, True).over(before))
-    rows = rows.withColumn("_a", F.first(value, True).over(after)).withColumn("_ao", F.first(place, True).over(after))
+    rows = rows.withColumn("_a", F.last(value, True).over(after)).withColumn("_ao", F.last(place, True).over(after))
     nearer = F.col("_b").isNotNull() & (F.col("_a").isNull() | (F.col(order) - F.col("_bo") <= F.col("_ao") - F.col(order)))
     return rows.withColumn(column, F.when(nearer, F.col("_b")).otherwise(F.col("_a"))).drop("_a", "_b", "_ao", "_bo")
 
 
 def merge_same_times(sentences: DataFrame, keys: list[str], spaced: bool = True) -> DataFrame:
-    """Sentences with equal start and end become one, their texts joined in order; rows without times are dropped."""
-    texts = F.transform(F.sort_array(F.collect_list(F.struct("sentence", "text"))), lambda x: x["text"])
+    """Sentences with equal start and end become one, texts joined and words (if there) concatenated in order; rows without times are dropped."""
+    more = [c for c in ("words", "chars") if c in sentences.columns]
+    parts = F.sort_array(F.collect_list(F.struct("sentence", "text", *more)))
     rows = sentences.where(F.col("start").isNotNull() & F.col("end").isNotNull())
-    return rows.groupBy(*keys, "start", "end").agg(F.array_join(texts, " " if spaced else "").alias("text"), F.min("sentence").alias("sentence"))
+    rows = rows.groupBy(*keys, "start", "end").agg(parts.alias("_p"))
+    text = F.array_join(F.transform("_p", lambda x: x["text"]), " " if spaced else "")
+    listed = lambda c: F.flatten(F.filter(F.transform("_p", lambda x: x[c]), lambda x: x.isNotNull())).alias(c)
+    return rows.select(*keys, "start", "end", text.alias("text"), F.get("_p", F.lit(0))["sentence"].alias("sentence"), *map(listed, more))

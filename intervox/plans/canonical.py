@@ -64,18 +64,17 @@ def vocabulary() -> F.Column:
 
 
 def scored_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """recording_id, ord, text, cdx, char, word_idx, start, end, score: synthetic times and scores by position.
+    """recording_id, ord, cdx, char, word_idx, start, end, score: synthetic times and scores by position.
 
     Every fifth character, and every space, has none.
     """
-    from ..operators.words import characters, word_number
+    from ..operators.words import characters
 
     chars = characters(utterances(spark, sf_dir).select("recording_id", "ord", "text"), ["recording_id", "ord"])
     has = (F.col("cdx") % 5 != 0) & (F.col("char") != " ")
     value = lambda x: F.when(has, x)
     return chars.select(
-        "*",
-        word_number(F.col("text"), F.col("cdx")).alias("word_idx"),
+        "recording_id", "ord", "cdx", "char", "word_idx",
         value(F.col("cdx") * 60 / 1000).alias("start"),
         value((F.col("cdx") + 1) * 60 / 1000).alias("end"),
         value((F.col("cdx") * 7 % 10) / 8).alias("score"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
@@ -80,6 +80,26 @@ def transcript(rows: DataFrame, timestamps: bool = True) -> DataFrame:
     return rows.select("recording_id", "ord", "start", "end", strip(F.col("text")).alias("text"), *extra, *(["words"] if timestamps and "words" in rows.columns else []))
 
 
+def timed_characters(segments: DataFrame, emissions: DataFrame, vocabulary: Column, blank: int = 0, spaced: bool = True, beam: int | None = None) -> DataFrame:
+    """keys, seg_start, seg_end, cdx, char, word_idx, start, end, score of all characters of segments that have a path.
+
+    Arrays stay within a segment's row until each character has its time; then rows are small, and dealt by segment,
+    so that words, fills and arrays of a segment need no other shuffle.
+    """
+    keys, text = ["recording_id", "ord"], F.col("text")
+    rows = segments.where(F.length("text") > 0).select(
+        *keys, F.col("start").alias("seg_start"), F.col("end").alias("seg_end"), "text", words.leading_blanks(text).alias("lead"), words.clean_tokens(text, vocabulary, spaced).alias("tokens")
+    )
+    found = ctc.align_runs(rows.join(emissions.select(*keys, "emission"), keys), blank, beam).where("runs is not null")
+    at = lambda x: ctc.frame_to_time(x, F.col("frames"), F.col("seg_start"), F.col("seg_end"))
+    # A path takes every token in turn, so the run of token k is run k, of the inner character k.
+    run = lambda i: F.get("runs", F.when(i >= F.col("lead"), i - F.col("lead")))
+    one = lambda x, i: F.struct(x["char"].alias("char"), x["word_idx"].alias("word_idx"), run(i).alias("run"))
+    rows = found.select(*keys, "seg_start", "seg_end", F.size("emission").alias("frames"), F.transform(words.numbered_characters(text, spaced), one).alias("_c"))
+    rows = rows.repartition(*keys).select(*keys, "seg_start", "seg_end", "frames", F.posexplode("_c").alias("cdx", "_c"))
+    return rows.select(*keys, "seg_start", "seg_end", "cdx", "_c.char", "_c.word_idx", at(F.col("_c.run.start")).alias("start"), at(F.col("_c.run.end")).alias("end"), F.round("_c.run.score", 3).alias("score"))
+
+
 def align(segments: DataFrame, emissions: DataFrame, vocabulary: dict[str, int], durations: DataFrame | None = None, language: str = "de", beam: int | None = None) -> DataFrame:
     """segments with words (word, start, end, score), by CTC alignment of their text to emissions (recording_id, ord, emission).
 
@@ -88,18 +108,7 @@ def align(segments: DataFrame, emissions: DataFrame, vocabulary: dict[str, int],
     keys, spaced = ["recording_id", "ord"], language not in words.UNSPACED
     known = F.create_map(*[F.lit(x) for pair in vocabulary.items() for x in pair])
     rows = segments if durations is None else segments.join(durations.select("recording_id", F.col("duration").alias("_d")), "recording_id", "left").where(F.col("_d").isNull() | (F.col("start") < F.col("_d"))).drop("_d")
-    chars = words.characters(rows.select(*keys, "text"), keys)
-    clean = words.clean_characters(chars, known, spaced)
-    tokens = clean.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("cdx", "token"))), lambda x: x["token"]).alias("tokens"), F.min("cdx").alias("first"))
-    found = ctc.align_runs(tokens.join(emissions.select(*keys, "emission"), keys), ctc.blank_id(vocabulary, last=beam is not None), beam)
-    runs = found.select(*keys, "first", F.size("emission").alias("frames"), F.explode("runs").alias("r"))
-    # Inner characters are consecutive, so the run of token k belongs to character first + k.
-    runs = runs.select(*keys, (F.col("first") + F.col("r.token_index")).alias("cdx"), "frames", F.col("r.start").alias("f1"), F.col("r.end").alias("f2"), "r.score")
-    bounds = segments.select(*keys, F.col("start").alias("seg_start"), F.col("end").alias("seg_end"))
-    aligned = runs.select(*keys).distinct()
-    at = lambda c: ctc.frame_to_time(F.col(c), F.col("frames"), F.col("seg_start"), F.col("seg_end"))
-    timed = chars.join(aligned, keys, "left_semi").join(runs, [*keys, "cdx"], "left").join(bounds, keys)
-    timed = timed.select(*keys, "seg_start", "seg_end", "cdx", "char", words.word_number(F.col("text"), F.col("cdx"), spaced).alias("word_idx"), at("f1").alias("start"), at("f2").alias("end"), F.round("score", 3).alias("score"))
+    timed = timed_characters(rows, emissions, known, ctc.blank_id(vocabulary, last=beam is not None), spaced, beam)
     rolled = words.interpolate(words.word_rollup(timed, [*keys, "seg_start", "seg_end"]), [*keys, "seg_start", "seg_end"])
     return segments.join(words.word_arrays(rolled, keys), keys, "left").withColumn("words", F.coalesce("words", F.array().cast("array<struct<word:string,start:double,end:double,score:double>>")))
 

@@ -225,7 +225,7 @@ def _items(frame: DataFrame, kind: str, of: str = "segments") -> DataFrame:
 
 
 @query(f"""{UTT} SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY ord) - 1 AS k, text, round(s, 9) AS "start", round(e, 9) AS "end",
-NULL::VARCHAR AS speaker, NULL::DOUBLE AS avg_logprob FROM utt""")
+speaker, NULL::DOUBLE AS avg_logprob FROM utt""")
 def json_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = logs.transcript_log(c.utterances(spark, sf_dir), "en")
     return rounded(_items(log, "text:string,start:double,end:double,avg_logprob:double,speaker:string"), "start", "end")

@@ -25,12 +25,12 @@ def vad_log(segments: DataFrame, files: str = "recording_id") -> DataFrame:
     return rows.select("recording_id", json_keeping_nulls(F.struct("segments", "num_speakers", F.col(files).cast("string").alias("audio_file"))).alias("log"))
 
 
-TRANSCRIPT = {"text": "string", "start": "double", "end": "double", "avg_logprob": "double", "no_speech_prob": "double", "compression_ratio": "double"}
+TRANSCRIPT = {"text": "string", "start": "double", "end": "double", "avg_logprob": "double", "no_speech_prob": "double", "compression_ratio": "double", "speaker": "string"}
 
 
 def transcript_log(segments: DataFrame, language: str | None = None) -> DataFrame:
-    """recording_id, log: seven fields a segment, missing ones null; the speaker isn't known yet and is null."""
-    item = F.struct(*_nullable(segments, TRANSCRIPT), F.lit(None).cast("string").alias("speaker"))
+    """recording_id, log: seven fields a segment, missing ones null."""
+    item = F.struct(*_nullable(segments, TRANSCRIPT))
     rows = segments.groupBy("recording_id").agg(_ordered(item).alias("segments"))
     whole = F.struct(F.col("recording_id").cast("string").alias("audio_file"), F.lit(language).cast("string").alias("language"), "segments")
     return rows.select("recording_id", json_keeping_nulls(whole).alias("log"))

@@ -184,3 +184,11 @@ def test_run_keeps_the_words_and_aligns(spark, tmp_path):
     assert [w["word"] for w in aligned["words"]] == ["hi"] and aligned["words"][0]["score"] is not None
     off = transcribe_files(spark, str(tmp_path), said, Config(use_alignment=False), emitter, vocabulary)[0].first()
     assert off["words"][0]["probability"] == 0.9
+
+
+def test_one_short_recording_does_not_stop_the_others(spark):
+    rows = spark.createDataFrame([(0, 0, [1.0, 0.0]), *[(1, i, [float(i % 2), 1.0 - i % 2]) for i in range(8)]], "recording_id long, ord long, embedding array<double>")
+    got = {(r["recording_id"], r["ord"]): r["speaker"] for r in clustering.cluster_speakers(rows, number=2).collect()}
+    assert got[0, 0] == "spk0" and got[1, 0] == got[1, 2] != got[1, 1] == got[1, 3]
+    with pytest.raises(Exception, match="too few"):
+        clustering.cluster_speakers(rows, number=2, strict=True).collect()

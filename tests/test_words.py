@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,8 +29,8 @@ def test_clean_characters(spark, text):
 def test_word_numbers_equal_the_loop(spark):
     rng = random.Random(5)
     texts = ["".join(rng.choice("ab  ") for _ in range(rng.randint(1, 12))) for _ in range(200)]
-    rows = w.characters(frame(spark, texts), KEYS).withColumn("n", w.word_number(F.col("text"), F.col("cdx")))
-    got = {(r["id"], r["cdx"]): r["n"] for r in rows.collect()}
+    got = {(r["id"], r["cdx"]): r["word_idx"] for r in w.characters(frame(spark, texts), KEYS).collect()}
+    assert len(got) == sum(map(len, texts))
     for i, text in enumerate(texts):
         n = 0
         for k in range(len(text)):
@@ -38,8 +39,8 @@ def test_word_numbers_equal_the_loop(spark):
 
 
 def test_unspaced_languages_count_characters(spark):
-    rows = w.characters(frame(spark, ["日本 語"]), KEYS).withColumn("n", w.word_number(F.col("text"), F.col("cdx"), spaced=False))
-    assert [r["n"] for r in rows.orderBy("cdx").collect()] == [0, 1, 2, 3]
+    rows = w.characters(frame(spark, ["日本 語"]), KEYS, spaced=False)
+    assert [r["word_idx"] for r in rows.orderBy("cdx").collect()] == [0, 1, 2, 3]
 
 
 def test_interpolation_equals_the_loop(spark):
@@ -59,6 +60,18 @@ def test_interpolation_equals_the_loop(spark):
     assert [(r["id"], r["word_idx"], r["start"], r["end"]) for r in got] == expected
 
 
+def test_words_of_a_very_long_text(spark):
+    """Work is linear in the text: 300,000 characters and 60,000 words and sentences in one row end in seconds."""
+    segments = frame(spark, ["abc. " * 60_000])
+    chars = w.characters(segments, KEYS).select("id", "cdx", "char", "word_idx", F.when(F.col("cdx") % 7 > 0, F.col("cdx") * 1.0).alias("start"), (F.col("cdx") + 1.0).alias("end"), F.lit(0.5).alias("score"))
+    began = time.time()
+    rolled = w.word_rollup(chars, KEYS).withColumns({"seg_start": F.lit(0.0), "seg_end": F.lit(1e6)})
+    assert w.interpolate(rolled, KEYS).where("start is not null and word = 'abc.'").count() == 60_000
+    assert w.nearest_fill(rolled, KEYS, "word_idx", "start").where("start is not null").count() == 60_000
+    assert w.sentence_rollup(chars, segments, KEYS).where("text = 'abc.'").count() == 60_000
+    assert time.time() - began < 60
+
+
 @pytest.mark.parametrize("scores, mean", [([0.5, None, 0.0, 1.0], 0.75), ([0.0, None], None), ([], None)])
 def test_confidence(spark, scores, mean):
     df = spark.createDataFrame([([(s,) for s in scores],)], "words array<struct<score:double>>")
@@ -78,6 +91,13 @@ def test_merge_same_times(spark):
     assert [r["text"] for r in w.merge_same_times(df, KEYS, spaced=False).collect()] == ["ab"]
 
 
+def test_merge_same_times_concatenates_words(spark):
+    word = "array<struct<word:string>>"
+    df = spark.createDataFrame([(0, 1, "b", 1.0, 2.0, [("b",)]), (0, 0, "a", 1.0, 2.0, [("a",)]), (0, 2, "c", 3.0, 4.0, None)], f"id int, sentence int, text string, start double, end double, words {word}")
+    got = {r["text"]: [x["word"] for x in r["words"]] for r in w.merge_same_times(df, KEYS).collect()}
+    assert got == {"a b": ["a", "b"], "c": []}
+
+
 def test_nearest_fill(spark):
     df = spark.createDataFrame([(0, i, v) for i, v in enumerate([None, 1.0, None, None, 4.0, None])], "id int, o int, v double")
     assert [r["v"] for r in w.nearest_fill(df, KEYS, "o", "v").orderBy("o").collect()] == [1.0, 1.0, 1.0, 4.0, 4.0, 4.0]
