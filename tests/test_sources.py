@@ -56,7 +56,7 @@ def test_logs(spark):
     vad = json.loads(logs.vad_log(df).first()["log"])
     assert vad["segments"][0] == {"start": 0.0, "end": 1.0, "speaker": None} and vad["num_speakers"] == 1
     said = json.loads(logs.transcript_log(df, "en").first()["log"])
-    assert list(said["segments"][0]) == ["text", "start", "end", "avg_logprob", "no_speech_prob", "compression_ratio", "speaker"] and said["segments"][1]["speaker"] is None
+    assert list(said["segments"][0]) == ["text", "start", "end", "avg_logprob", "no_speech_prob", "compression_ratio", "speaker"] and [x["speaker"] for x in said["segments"]] == [None, "s"]
     speakers = json.loads(logs.speaker_log(df).first()["log"])
     assert speakers["speaker_statistics"] == {"null": {"total_duration": 1.0, "segment_count": 1}, "s": {"total_duration": 2.0, "segment_count": 1}}
     aligned = df.withColumn("words", F.expr("array(named_struct('word', 'a', 'start', 0.0d, 'end', 1.0d, 'score', cast(null as double)))"))
