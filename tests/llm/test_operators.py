@@ -340,19 +340,43 @@ def brute_substrings(texts, ids, window=13):
         yield i, len(w), len(gone), hashlib.sha256(left.encode()).hexdigest()
 
 
-@pytest.mark.parametrize("group, chunk, bucket", [(2_000_000, 1_000_000, 1_000_000), (300, 500, 700)])
+@pytest.mark.parametrize("group, chunk, bucket", [(substring_dedup.GROUP, 1_000_000, 1_000_000), (30, 500, 700)])
 def test_substring_digests(spark, texts, monkeypatch, group, chunk, bucket):
-    for name, x in (("GROUP", group), ("BUCKET", bucket)):
-        monkeypatch.setattr(substring_dedup, name, x)
+    monkeypatch.setattr(substring_dedup, "BUCKET", bucket)
     monkeypatch.setattr(substring_dedup.chunks, "__defaults__", (13, chunk))
     rng = random.Random(3)
     ids = rng.sample(range(1000), len(texts) - 2) + [None, 7000]
-    texts = [*texts, "the the the " * 20]
-    ids.append(7001)
-    got = substring_dedup.substring_digests(documents(spark, texts, ids)).collect()
+    texts = [*texts, "the the the " * 20, "the the the " * 30, " ".join(["one two"] * 40), "x " + " ".join(["one two"] * 30)]
+    ids += [7001, 7002, 7003, 7004]
+    got = substring_dedup.substring_digests(documents(spark, texts, ids), group=group).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute_substrings(texts, ids)))
 
 
+@pytest.mark.parametrize("size", [2, 30])
+def test_nodes_equal_brute_force(size):
+    """Suffix ranks against all windows as tuples, over random words of a small and a larger vocabulary."""
+    rng = np.random.default_rng(size)
+    for window in (2, 3, 5, 8, 13):
+        codes, ids = rng.integers(0, size, 600), np.repeat(rng.permutation(6), 100)
+        codes[350:390] = codes[20:60]
+        at = np.concatenate([np.arange(k * 100, (k + 1) * 100 - window + 1) for k in range(6)])
+        least = {}
+        for p in at:
+            g = tuple(codes[p : p + window])
+            least[g] = min(ids[p], least.get(g, 99))
+        want = [ids[p] > least[tuple(codes[p : p + window])] for p in at]
+        assert substring_dedup.late_windows(codes, at, ids[at], window).tolist() == want
+
+
+def test_words_decide_where_hashes_collide(spark, texts, monkeypatch):
+    """With one hash for all words every suffix has the same anchor; the result rests on the words and is the same."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2, 3], pa.int64()), "tag": pa.array([0, 0, 0], pa.int32()), "text": ["a b c d e f", "z b c d e f", "a b c q e f"]})
+    monkeypatch.setattr(substring_dedup, "word_hashes", lambda raw, starts, ends: np.ones(len(starts), np.uint64))
+    chunk = next(substring_dedup.chunks([batch], 5))
+    assert len(set(substring_dedup.prefixes(chunk, np.zeros(0, np.uint64)).tolist())) == 1
+    assert substring_dedup.late_windows(chunk.codes, chunk.at, chunk.ids[chunk.doc], 5).tolist() == [False, False, False, True, False, False]
+
+
 def test_substring_other_forms(spark):
     shared = " ".join(f"s{i}" for i in range(60))
     df = documents(spark, ["a " + shared, shared + " b\nc", shared, shared + " x"], ids=[1, 2, 3, 3])
@@ -362,17 +386,23 @@ def test_substring_other_forms(spark):
     assert substring_dedup.substring_digests(df.limit(0)).count() == 0
 
 
-def test_frequent_prefixes_split_groups(spark):
+def test_frequent_anchors_give_way(spark):
     rng = random.Random(9)
-    texts = [" ".join(["the", rng.choice("ab")] * 10 + words(rng, 200)) for _ in range(30)]
+    texts = [" ".join(["the", "same"] * 10 + words(rng, 200)) for _ in range(30)]
     df = documents(spark, texts).select("doc_id", F.lit(0).alias("tag"), "text")
-    found = substring_dedup.frequent_prefixes(df, 30 * 220, 200)
-    assert len(found[0]) >= 1 and len(found[1]) >= 2
-
-
-def test_hashes_travel_whole():
-    hashes = np.asarray([1, 1 + (1 << 56), (1 << 64) - 1], np.uint64)
-    assert (substring_dedup.unpack_hashes(pa.py_buffer(substring_dedup.pack_hashes(hashes))) == hashes).all()
+    frequent = substring_dedup.frequent_anchors(df, 30 * 220, 200)
+    assert len(frequent) == 2  # the same, same the
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1], pa.int64()), "tag": pa.array([0], pa.int32()), "text": texts[:1]})
+    chunk = next(substring_dedup.chunks([batch]))
+    dealt = substring_dedup.prefixes(chunk, frequent)
+    assert len(set(dealt[:8].tolist())) == 2 and len(set(dealt[8:].tolist())) < 0.35 * len(dealt)
+
+
+def test_runs_travel_whole():
+    ids, tags, pos, n = np.asarray([5, -9, 1 << 60]), np.asarray([1, 65535, 0]), np.asarray([0, 7, 1 << 31]), np.asarray([1, 2, 70_000])
+    data = np.frombuffer(b"a bc ", np.uint8)
+    got = substring_dedup.unpack_runs(*substring_dedup.pack_runs(ids, tags, pos, n, data))
+    assert [x.tolist() for x in got] == [x.tolist() for x in (ids, tags, pos, n, data)]
 
 
 # ----------------------------------------------------------------------- 8 packing
