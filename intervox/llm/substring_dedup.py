@@ -37,7 +37,7 @@ WINDOW = 13
 #: Words of an anchor.
 ANCHOR = 2
 #: Suffixes of one group on the average; words that a task handles at once; words of one bucket of documents.
-GROUP, CHUNK, BUCKET = 1_300_000, 1_000_000, 1_000_000
+GROUP, CHUNK, BUCKET = 600_000, 1_000_000, 1_000_000
 #: The most anchors that are called frequent (a table of 8 bytes each), and the most partitions of a shuffle.
 MOST_FREQUENT, MOST_PARTITIONS = 1 << 20, 1 << 17
 NO_ID = -(1 << 63)
