@@ -35,7 +35,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/intervox-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that written() gave and that nothing still to be computed reads; other frames stay."""
+    for x in tables:
+        if path := x.__dict__.pop("written_to", None):
+            jvm, conf = x.sparkSession._jvm, x.sparkSession._jsparkSession.sessionState().newHadoopConf()
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -186,11 +197,14 @@ def components(edges: DataFrame) -> DataFrame:
         moved = join_small(edges, step.select(F.col("node").alias("a"), F.col("label").alias("to_a")), ["a"], "inner")
         moved = join_small(moved, step.select(F.col("node").alias("b"), F.col("label").alias("to_b")), ["b"], "inner")
         moved = moved.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
-        edges = written(moved.where("a < b").distinct(), "edges")
+        done, edges = edges, written(moved.where("a < b").distinct(), "edges")
+        discard(done)
         if edges.isEmpty():
+            discard(edges)
             break
     labels = steps[0]
     for step in steps[1:]:
         nxt = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        labels = written(join_small(labels, nxt, ["label"], "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
+        done, labels = labels, written(join_small(labels, nxt, ["label"], "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
+        discard(done, step)
     return labels

@@ -1,19 +1,22 @@
 """N-gram Jaccard join by chosen paths.
 
-Texts are sets of hashed word 5-grams. In each run a set goes down a tree: from a node it enters the children of those
-of its tokens that the node's hash samples, 1 / (threshold * size) of them, so that similar sets meet in a child with
-a known chance. Buckets of at most SMALL sets are brute-forced; larger ones are split again, to DEPTH. Runs repeat
-until the target recall of a pair at the threshold is reached. Members of a bucket are compared by one-permutation
-minhash sketches well below the threshold, and linked along a spanning forest of what passes; the candidate groups
-so found are verified by exact Jaccard, whole group against whole group, in tiles of TILE sets where they are large.
+Texts are sets of hashed word 5-grams. In each run a set goes down a tree: at the root it enters the children of those
+of its tokens that the run's hash samples, 1 / (threshold * size) of them, so that similar sets meet in a child with a
+known chance. Buckets of at most SMALL sets are brute-forced; larger ones are split again, to DEPTH, with SPLIT times
+as many samples, so that a pair that met meets again. Runs repeat until a pair at the threshold, of any two sizes, is
+met with the target recall in buckets of every depth. Members of a bucket are compared by one-permutation minhash
+sketches well below the threshold, and linked along a spanning forest of what passes; the candidate groups so found are
+verified by exact Jaccard, whole group against whole group, in tiles of TILE sets where they are large.
 
 Equal texts are one set throughout (their copies share class and links), so no pairs of copies are made. No bucket or
-group is cut: a large bucket is worked in parts whose leaders meet again (a set within LEADER of a leader can be left
-to it, since Jaccard distance is a metric and candidates link down to LINK), and a large group in tile pairs.
+group is cut: a bucket that stays large is worked in parts, where a set within LEADER of a leader is left to it; the
+leaders of all parts then meet pair by pair (Jaccard distance is a metric, so leaders of a pair at the threshold are
+0.6 alike, and candidates link down to LINK), and a large group in tile pairs.
 
 Defined cases: null text counts as empty; a text of one to four words is one shingle; a text without words has none
-and no links; rows that repeat a doc_id are told apart by their text; equal rows share the class; an empty table
-gives an empty result; other columns are ignored.
+and no links; texts of any length are taken whole; rows that repeat a doc_id or have none are told apart by their text;
+equal rows share the class; of equal smallest doc_ids either row may stand for a class, by the digest of its text; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,22 +28,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, fresh, gram_hashes, join_small, mix64, partitions, slices, sorted_groups, text_buffers, word_bounds, word_hashes, written
+from .common import components, discard, fresh, gram_hashes, join_small, mix64, partitions, slices, sorted_groups, text_buffers, word_bounds, word_hashes, written
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
-DEPTH = 3
-#: Sets of a bucket that are compared at once: to here, comparing their sketches costs less than sending them on.
-SMALL = 2048
+#: Levels of a tree, and how many times 1 / (threshold * size) are sampled below the first.
+DEPTH, SPLIT = 3, 3.0
+#: Sets of a bucket that are compared at once.
+SMALL = 256
 #: Sketch bins; estimates from which sets are linked, and from which one can be left to its leader.
 BINS, LINK, LEADER = 128, 0.45, 0.9
 #: Sets of one bucket part, and of one verification tile.
-PART, TILE = 20_000, 256
+PART, TILE = 2048, 512
 
 
-def runs_for(recall: float = RECALL, threshold: float = THRESHOLD) -> int:
-    """Runs until a pair of equal size at the threshold meets in a first child with the wanted chance."""
-    shared = 2 * threshold / (1 + threshold) / threshold  # expected sampled tokens that both sets hold
-    return math.ceil(math.log(1 - recall) / -shared)
+def survival(depth: int = DEPTH, split: float = SPLIT) -> float:
+    """The chance that a pair at the threshold meets in a bucket of the last level of one run's tree.
+
+    The pair whose smaller set lies within the larger one shares the fewest samples, one at the root and `split` at a
+    node on the average; all other pairs share more.
+    """
+    met = 1.0
+    for _ in range(depth - 1):
+        met = 1 - math.exp(-split * met)
+    return 1 - math.exp(-met)
+
+
+def runs_for(recall: float = RECALL) -> int:
+    """Runs until a pair at the threshold meets in buckets of every depth with the wanted chance."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - survival()))
 
 
 def shingles(words: np.ndarray, k: int = WORDS) -> np.ndarray:
@@ -80,16 +95,18 @@ def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a == b) & (a > 0)).sum(axis=-1) / np.maximum(either, 1)
 
 
-def chosen_paths(tokens: np.ndarray, runs: int, threshold: float = THRESHOLD, depth: int = DEPTH) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(parent numbers, paths) of each level of a set's trees; the first level's parents are the runs."""
-    limit = np.uint64(min(2**64 - 1, int(2**64 / (threshold * max(1, len(tokens))))))
-    nodes, out = mix64(np.arange(1, runs + 1, dtype=np.uint64)), []
-    for _ in range(depth):
-        picked = mix64(tokens[None, :] ^ nodes[:, None])
-        parent, token = np.nonzero(picked < limit)
-        nodes = mix64(picked[parent, token] + nodes[parent])
-        out.append((parent, nodes))
-    return out
+def chosen_children(tokens: np.ndarray, nodes: np.ndarray, rate: float) -> np.ndarray:
+    """The children of tree nodes that a set enters: rate / size of its tokens are sampled at each node."""
+    limit = np.uint64(min(2**64 - 1, int(2**64 * rate / max(1, len(tokens)))))
+    out = []
+    for node in nodes:
+        picked = mix64(tokens ^ node)
+        out.append(mix64(picked[picked <= limit] + node))
+    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
+
+
+def roots(runs: int) -> np.ndarray:
+    return mix64(np.arange(1, runs + 1, dtype=np.uint64))
 
 
 def _first_of(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -123,93 +140,108 @@ def link_bucket(sketches: np.ndarray, link: float = LINK, leader: float = LEADER
     return _first_of(np.arange(m), a, b), np.asarray(leaders)
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, runs: int) -> DataFrame:
-    """One row for each text with words: digest, doc_id (smallest), size, sketch, and its paths by level."""
+def _digested(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"))
-    texts = texts.groupBy("digest", "text").agg(F.min("doc_id").alias("doc_id"))
-    node = pa.list_(pa.struct([("parent", pa.int32()), ("path", pa.int64())]))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"))
+
+
+def _sets(rows: DataFrame, runs: int) -> DataFrame:
+    """One row for each text with words: rep (a number of its own), digest, doc_id (smallest), sketch, paths of the first level."""
+    texts = rows.groupBy("digest", "text").agg(F.min("doc_id").alias("doc_id"))
 
     def describe(batches):
         for batch in batches:
-            size, marks, levels, keep = [], [], [[] for _ in range(DEPTH)], []
+            keep, marks, paths = [], [], []
             for i, tokens in enumerate(text_shingles(batch.column(1))):
-                if not len(tokens):
-                    continue
-                keep.append(i)
-                size.append(len(tokens))
-                marks.append(sketch(tokens))
-                for level, x in zip(levels, chosen_paths(tokens, runs)):
-                    level.append(x)
+                if len(tokens):
+                    keep.append(i)
+                    marks.append(sketch(tokens))
+                    paths.append(chosen_children(tokens, roots(runs), 1 / THRESHOLD))
             picked = batch.take(pa.array(keep, pa.int64()))
-            nested = []
-            for level in levels:
-                at = np.cumsum([0, *[len(p) for _, p in level]]).astype(np.int32)
-                parents = np.concatenate([np.zeros(0, int), *[p for p, _ in level]]).astype(np.int32)
-                paths = np.concatenate([np.zeros(0, np.uint64), *[p for _, p in level]]).view(np.int64)
-                nested.append(pa.ListArray.from_arrays(pa.array(at), pa.StructArray.from_arrays([pa.array(parents), pa.array(paths)], fields=list(node.value_type))))
-            columns = [picked.column(0), picked.column(2), pa.array(size, pa.int64()), pa.array(marks, pa.binary()), *nested]
-            yield pa.RecordBatch.from_arrays(columns, names=["digest", "doc_id", "size", "sketch", *[f"level{i + 1}" for i in range(DEPTH)]])
+            at = np.cumsum([0, *map(len, paths)]).astype(np.int32)
+            flat = np.concatenate([np.zeros(0, np.uint64), *paths]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([picked.column(0), picked.column(2), pa.array(marks, pa.binary()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], names=["digest", "doc_id", "sketch", "paths"])
 
-    levels = ", ".join(f"level{i + 1} array<struct<parent:int,path:bigint>>" for i in range(DEPTH))
-    return written(texts.mapInArrow(describe, f"digest binary, doc_id long, size long, sketch binary, {levels}"), "sets")
+    described = texts.mapInArrow(describe, "digest binary, doc_id long, sketch binary, paths array<bigint>")
+    # Numbers of rows of a written table: they stay as they are once it is there.
+    return written(described.select(F.monotonically_increasing_id().alias("rep"), "*"), "sets")
 
 
-def _buckets(sets: DataFrame) -> DataFrame:
+def _texts(rows: DataFrame, wanted: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """wanted (rep, digest, doc_id, ...) with the text of each, one row a rep whatever number of copies there are."""
+    wanted = wanted.select(*[F.col(c).alias(f"_{c}") for c in wanted.columns])
+    wanted = F.broadcast(wanted) if wanted.count() <= most_rows else wanted.hint("merge")
+    found = rows.join(wanted, (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")))
+    more = [c for c in wanted.columns if c not in ("_digest", "_doc_id")]
+    return found.groupBy(*more).agg(F.first("text").alias("text")).select(*[F.col(c).alias(c[1:]) for c in more], "text")
+
+
+def _buckets(sets: DataFrame, rows: DataFrame) -> DataFrame:
     """(path, n, rep): the buckets to brute-force, of at least two sets each."""
-    rows = sets.select("rep", F.explode("level1.path").alias("path"))
-    brute = None
+    found, brute = sets.select("rep", F.explode("paths").alias("path")), None
     for level in range(1, DEPTH + 1):
-        counts = written(rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "counts")
-        shared = written(join_small(rows, counts, ["path"], "inner").select("path", "n", "rep"), f"shared{level}")
-        last = level == DEPTH or counts.where(F.col("n") > SMALL).isEmpty()
+        counts = written(found.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+        shared = written(join_small(found, counts, ["path"], "inner").select("path", "n", "rep"), f"shared{level}")
+        discard(counts)
+        last = level == DEPTH or shared.where(F.col("n") > SMALL).isEmpty()
         done = shared if last else shared.where(F.col("n") <= SMALL)
         brute = done if brute is None else brute.unionByName(done)
         if last:
             return brute
-        large = shared.where(F.col("n") > SMALL).select("rep", F.col("path").alias("above"))
-        trees = sets.select("rep", f"level{level}", F.explode(f"level{level + 1}").alias("node"))
-        trees = trees.select("rep", F.get(F.col(f"level{level}.path"), F.col("node.parent")).alias("above"), F.col("node.path").alias("path"))
-        rows = large.join(trees.hint("merge"), ["rep", "above"]).select("rep", "path")
+        found = _split(shared.where(F.col("n") > SMALL), sets, rows)
+
+
+def _split(large: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """(rep, path): the children that the members of large buckets (path, rep) enter."""
+    nodes = large.groupBy("rep").agg(F.collect_list("path").alias("nodes"))  # a set's own paths, some tens
+    wanted = written(nodes.join(sets.select("rep", "digest", "doc_id"), "rep"), "large")
+
+    def descend(batches):
+        for batch in batches:
+            found = [chosen_children(tokens, nodes.values.to_numpy().view(np.uint64), SPLIT / THRESHOLD) for nodes, tokens in zip(batch.column(1), text_shingles(batch.column(2)))]
+            rep = np.repeat(batch.column(0).to_numpy(), [len(x) for x in found])
+            yield pa.RecordBatch.from_pydict({"rep": rep, "path": np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)})
+
+    return written(_texts(rows, wanted).select("rep", "nodes", "text").mapInArrow(descend, "rep long, path long"), "children")
 
 
 def _candidate_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): links along a spanning forest of each bucket's sketch graph."""
-    rows, links, n = buckets.join(sets.select("rep", "sketch"), "rep"), None, partitions(buckets.sparkSession)
-    for attempt in range(20):
+    spark = buckets.sparkSession
+    rows, links = buckets.join(sets.select("rep", "sketch"), "rep"), []
+    for last in (False, True):
         parts = F.ceil(F.col("n") / F.lit(PART)).cast("int")
-        if attempt < 3:
-            rows = rows.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(attempt)), parts))
-        else:  # the leaders are hardly fewer than the sets: every part meets every other
-            mine = F.pmod(F.xxhash64("rep", F.lit(attempt)), parts)
-            other = F.explode(F.sequence(F.lit(0), parts - 1))
-            rows = rows.withColumn("mine", mine).withColumn("other", other).withColumn("part", F.least("mine", "other") * parts + F.greatest("mine", "other"))
-        last = attempt >= 3
-
-        def work(batches):
+        rows = rows.withColumn("mine", F.pmod(F.xxhash64("rep", F.lit(last)), parts).cast("int"))
+        if last:  # every part of leaders meets every other
+            rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+            rows = rows.withColumn("part", F.least("mine", "other") * parts + F.greatest("mine", "other"))
+        else:
+            rows = rows.withColumn("part", F.col("mine"))
+
+        def work(batches, last=last):
             for group in sorted_groups(batches, ["path", "part"]):
-                if group.num_rows < 2 and (last or group["n"][0].as_py() <= PART):
+                again = not last and group["n"][0].as_py() > PART
+                if group.num_rows < 2 and not again:
                     continue
                 rep = group["rep"].to_numpy()
                 marks = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
                 order = np.argsort(rep, kind="stable")
                 rep, marks = rep[order], marks[order]
-                to, leaders = link_bucket(marks)
+                to, leaders = link_bucket(marks, leader=2.0 if last else LEADER)
                 linked = np.flatnonzero(to != np.arange(len(to)))
                 yield pa.RecordBatch.from_pydict({"path": pa.nulls(len(linked), pa.int64()), "a": rep[to[linked]], "b": rep[linked], "sketch": pa.nulls(len(linked), pa.binary())})
-                if not last and group["n"][0].as_py() > PART:
+                if again:
                     yield pa.RecordBatch.from_pydict({"path": pa.array([group["path"][0].as_py()] * len(leaders)), "a": rep[leaders], "b": rep[leaders], "sketch": pa.array([marks[i].tobytes() for i in leaders], pa.binary())})
 
-        dealt = rows.select("path", "part", "n", "rep", "sketch").repartition(n, "path", "part").sortWithinPartitions("path", "part")
+        dealt = rows.select("path", "part", "n", "rep", "sketch").repartition(partitions(spark), "path", "part").sortWithinPartitions("path", "part")
         found = written(dealt.mapInArrow(work, "path long, a long, b long, sketch binary"), "links")
-        new = found.where("path is null").select("a", "b")
-        links = new if links is None else links.unionByName(new)
+        links.append(found.where("path is null").select("a", "b"))
         again = found.where("path is not null").select("path", F.col("a").alias("rep"), "sketch")
-        if last or again.isEmpty():
-            return links
+        if again.isEmpty():
+            break
         sizes = written(again.groupBy("path").agg(F.count("*").alias("n")), "sizes")
         rows = join_small(again, sizes, ["path"], "inner")
-    return links
+    return links[0] if len(links) == 1 else links[0].unionByName(links[1])
 
 
 def jaccard_pairs(tokens: list[np.ndarray], threshold: float = THRESHOLD, block: int = 8192) -> tuple[np.ndarray, np.ndarray]:
@@ -232,22 +264,22 @@ def jaccard_pairs(tokens: list[np.ndarray], threshold: float = THRESHOLD, block:
     return np.nonzero(np.triu(both >= threshold * union - 1e-6, 1))
 
 
-def _verified(groups: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(groups: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     """(rep, label, links, tiled): exact links of each set within its candidate group."""
     spark = groups.sparkSession
     sizes = written(groups.groupBy("label").agg(F.count("*").alias("n")), "sizes")
     members = join_small(groups, sizes, ["label"], "inner").withColumn("tiles", F.ceil(F.col("n") / F.lit(TILE)).cast("int"))
     members = members.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")).select(F.col("node").alias("rep"), "label", "tiles", "mine")
-    members = written(members, "members")
-    rows = join_small(texts, members, ["rep"], "inner").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    members = written(members.join(sets.select("rep", "digest", "doc_id"), "rep"), "members")
+    rows = _texts(texts, members).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     rows = rows.withColumn("tile", F.least("mine", "other") * F.col("tiles") + F.greatest("mine", "other"))
 
     def verify(batches):
         for group in sorted_groups(batches, ["label", "tile"]):
-            rep, at = np.unique(group["rep"].to_numpy(), return_index=True)
-            if len(rep) < 2:
+            if group.num_rows < 2:
                 continue
-            group = group.take(pa.array(at))
+            group = group.sort_by("rep")
+            rep = group["rep"].to_numpy()
             mine, tiles, tile = group["mine"].to_numpy(), group["tiles"][0].as_py(), group["tile"][0].as_py()
             a, b = jaccard_pairs(list(text_shingles(group["text"].combine_chunks())))
             if tile // tiles != tile % tiles:
@@ -271,28 +303,22 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     within the threshold of the document's text, n_copies the rows of its text. class_key tells classes apart also where
     doc_ids are null or repeat and several classes have one class_id; it is null for a text without words, a class by itself.
     """
-    sets = _sets(docs, id_col, text_col, runs_for(recall))
-    # doc_ids name texts, unless one is null or has several texts.
-    named = sets.where("doc_id is null").isEmpty() and sets.groupBy("doc_id").count().where("count > 1").isEmpty()
-    sets = sets.withColumn("rep", F.col("doc_id") if named else F.xxhash64("digest"))
-    groups = components(_candidate_links(_buckets(sets), sets))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"))
-    texts = rows.withColumn("rep", F.col("doc_id") if named else F.xxhash64("digest")).select("rep", "text")
-    verified = _verified(groups, texts)
+    rows = _digested(docs, id_col, text_col)
+    sets = _sets(rows, runs_for(recall))
+    groups = components(_candidate_links(_buckets(sets, rows), sets))
+    verified = _verified(groups, sets, rows)
     classes = verified.groupBy("rep").agg(F.min("label").alias("label"), F.sum("links").alias("links"), F.max("tiled").alias("tiled"))
     if not verified.where("tiled").isEmpty():
         joined = components(verified.where("tiled").select(F.col("rep").alias("a"), F.col("label").alias("b")))
         joined = joined.select(F.col("node").alias("rep"), F.col("label").alias("whole"))
         classes = join_small(classes, joined, ["rep"], "left").withColumn("label", F.coalesce("whole", "label"))
     classes = written(classes.select("rep", "label", "links"), "classes")
-    members = join_small(sets.select("digest", "doc_id", "rep"), classes, ["rep"], "left").withColumn("label", F.coalesce("label", "rep"))
-    if named:
-        members = members.withColumn("class_id", F.col("label"))
-    else:
-        least = written(members.groupBy("label").agg(F.min("doc_id").alias("class_id")), "least")
-        members = join_small(members, least, ["label"], "inner")
-    members = written(members.select("digest", "class_id", F.col("label").alias("class_key"), "links"), "members")
+    members = join_small(sets.select("digest", "doc_id", "rep"), classes, ["rep"], "left")
+    # Only classes of several texts need the smallest of their doc_ids; a text alone has its own.
+    least = written(members.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")), "least")
+    members = join_small(members, least, ["label"], "left")
+    class_id = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    members = written(members.select("digest", class_id.alias("class_id"), F.coalesce("label", "rep").alias("class_key"), "links"), "members")
     copies = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
     texts = written(join_small(copies, members, ["digest"], "left").select("digest", F.coalesce("class_id", "first_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"), "n_copies", "class_key"), "texts")
     return join_small(rows.select("doc_id", "digest"), texts, ["digest"], "inner").select("doc_id", "class_id", "n_links", "n_copies", F.col("digest").alias("row_digest"), "class_key")

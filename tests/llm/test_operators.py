@@ -2,6 +2,7 @@
 rows, empty tables, other columns with clashing names."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -273,6 +274,55 @@ def test_jaccard_classes(spark, texts, monkeypatch, small, part, tile):
     assert got == brute_classes(texts, ids)
 
 
+def test_split_buckets_keep_the_recall():
+    """Pairs at the threshold, where every bucket above the last level counts as large: the share that meets in one of
+    the runs of production is the target, for sets of equal size and for one set within the other."""
+    rng = np.random.default_rng(17)
+    fresh = lambda n: rng.integers(0, 2**63, n, dtype=np.uint64)
+    runs, pairs, singles = jaccard_join.runs_for(), 400, []
+    for common_, own_a, own_b in ((16, 2, 2), (80, 10, 10), (80, 0, 20), (400, 50, 50), (400, 0, 100)):
+        met, once = 0, 0
+        for _ in range(pairs):
+            both = fresh(common_)
+            a, b = np.append(both, fresh(own_a)), np.append(both, fresh(own_b))
+            assert len(both) / (common_ + own_a + own_b) == 0.8
+            shared = None
+            for level in range(jaccard_join.DEPTH):
+                at, rate = (jaccard_join.roots(runs), 1 / 0.8) if level == 0 else (shared, jaccard_join.SPLIT / 0.8)
+                shared = np.intersect1d(jaccard_join.chosen_children(a, at, rate), jaccard_join.chosen_children(b, at, rate))
+            met += len(shared) > 0
+            shared = None
+            for level in range(jaccard_join.DEPTH):
+                at, rate = (jaccard_join.roots(1), 1 / 0.8) if level == 0 else (shared, jaccard_join.SPLIT / 0.8)
+                shared = np.intersect1d(jaccard_join.chosen_children(a, at, rate), jaccard_join.chosen_children(b, at, rate))
+            once += len(shared) > 0
+        assert met >= pairs - 1
+        singles.append(once / pairs)
+    assert min(singles) > jaccard_join.survival() - 0.1
+
+
+def test_hot_tokens_split_and_lose_no_link(spark, monkeypatch):
+    """A passage that all texts share makes hot buckets at every level; the pairs among them are found as by brute force."""
+    monkeypatch.setattr(jaccard_join, "SMALL", 8)
+    rng = random.Random(21)
+    passage, texts = words(rng, 16, 10_000), []
+    for i in range(300):
+        own = words(rng, 60, 100_000)
+        near = [*own[:-1], f"last{i}"]
+        texts += [" ".join(passage + own), " ".join(passage + near)]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join.jaccard_classes(documents(spark, texts)).collect()}
+    assert got == {i: (i - i % 2, 1) for i in range(600)}
+
+
+def test_whole_classes_of_texts_of_the_same_words(spark, monkeypatch):
+    """Sets that are equal never split: their buckets are worked in parts, and all pairs of different texts are links."""
+    for name, x in (("SMALL", 4), ("PART", 7), ("TILE", 5)):
+        monkeypatch.setattr(jaccard_join, name, x)
+    texts = ["one two three" + " " * i for i in range(40)] + ["four five"]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join.jaccard_classes(documents(spark, texts)).collect()}
+    assert got == {i: (0, 39) for i in range(40)} | {40: (40, 0)}
+
+
 def test_jaccard_large_group(spark):
     rng = random.Random(8)
     base = words(rng, 120, 10_000)
@@ -486,6 +536,62 @@ def test_quality(spark, sf_dir):
     assert all(got[i]["keep"] for i, q in truth.items() if q == 1)
 
 
+def test_quality_of_held_out_labels(spark):
+    """Fitted on half of the labels, the classifier is right on the other half; planted copies on both sides are left out."""
+    docs, labels = common.table(spark, "/root/testdata/sf0.01", "documents"), common.table(spark, "/root/testdata/sf0.01", "labels")
+    fitted = labels.where("crc32(cast(doc_id as string)) % 2 = 0")
+    got = {r["doc_id"]: r["keep"] for r in quality.quality_scores(docs, fitted).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    known = {texts[r["doc_id"]] for r in fitted.collect()}
+    held = [(r["doc_id"], r["quality"]) for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 2 and texts[r["doc_id"]] not in known]
+    right = [got[i] == (q == 1) for i, q in held]
+    assert len(held) > 100 and sum(right) / len(right) > 0.95 and all(got[i] for i, q in held if q == 1)
+
+
+def test_quality_words_tell_what_statistics_do_not(spark):
+    rng = random.Random(12)
+    kinds = [[f"ga{a}{b}" for a in "abcde" for b in "fghij"], [f"ba{a}{b}" for a in "abcde" for b in "fghij"]]
+    df = documents(spark, [" ".join(rng.choice(kinds[k % 2]) for _ in range(60)) for k in range(400)])
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(200)], "doc_id long, quality int")
+    assert all(r["keep"] == (r["doc_id"] % 2 == 0) for r in quality.quality_scores(df, labels).where("doc_id >= 200").collect())
+
+
+def test_quality_sample_is_of_labels_that_have_documents(spark, sf_dir):
+    """Labels of documents that are elsewhere, a thousand times as many as those at hand, change nothing."""
+    docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels").select("doc_id", "quality")
+    others = spark.range(10_000_000, 10_087_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    want = sorted(map(tuple, quality.quality_scores(docs, labels).collect()))
+    assert sorted(map(tuple, quality.quality_scores(docs, labels.unionByName(others)).collect())) == want
+
+
+def test_quality_posterior_equals_brute_force(spark, sf_dir):
+    docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
+    rows = quality.scored(docs, labels).where("doc_score > 0.00001").toPandas()
+    everything = quality.scored(docs, labels).toPandas()
+    sums = lambda by: everything.groupby(by)["doc_score"].agg(["size", "sum"])
+    hosts, paths = sums(["host"]), sums(["host", "path"])
+    mu = min(max(everything["doc_score"].mean(), 1e-3), 1 - 1e-3)
+
+    def strength(n, s, mean):
+        n, s, mean = (np.asarray(x, float)[np.asarray(n) >= 2] for x in (n, s, mean))
+        if len(n) < 2:
+            return 10.0
+        noise = (mean * (1 - mean)).sum() / n.sum()
+        variance = max((n * (s / n - mean) ** 2).sum() / n.sum() - noise, 1e-6)
+        return min(max((mean * (1 - mean) * n).sum() / n.sum() / variance - 1, 1.0), 1e4)
+
+    k_host = strength(hosts["size"], hosts["sum"], [mu] * len(hosts))
+    of = hosts.loc[[h for h, _ in paths.index]]
+    k_path = strength(paths["size"], paths["sum"], (k_host * mu + of["sum"].to_numpy()) / (k_host + of["size"].to_numpy()))
+    for r in rows.itertuples():
+        n, s = hosts.loc[r.host]
+        host = (k_host * mu + s - r.doc_score) / (k_host + n - 1)
+        n, s = paths.loc[(r.host, r.path)]
+        path = (k_path * host + s - r.doc_score) / (k_path + n - 1)
+        odds = math.log(r.doc_score / (1 - r.doc_score)) + math.log(path / (1 - path)) - math.log(mu / (1 - mu))
+        assert abs(r.host_score - host) < 1e-6 and abs(r.path_score - path) < 1e-6 and abs(r.score - 1 / (1 + math.exp(-odds))) < 1e-5
+
+
 def test_quality_odd_rows(spark):
     labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0), (1, None, 0), (None, 1, 0), (99, 1, 0), (3, 1, 0), (4, 0, 1)], "doc_id long, quality int, toxic int")
     df = documents(spark, ["good words here", "$$$ %%% ***", None, "fine text again", "### $$$ x", "", "  ", "good words here"], sources=["s", None, "s", "t", None, "s", "s", "s"], langs=["en", None] * 4)
