@@ -4,8 +4,8 @@ Digests that the filter passes join the snapshot's exact buckets, where the byte
 duplicates within the batch are grouped on their own. Text that the filter rules out never meets the snapshot.
 
 Defined cases: a null text counts as empty; of equal texts the row with the largest doc_id stays (null doc_ids
-are below all others); of rows equal in doc_id and text exactly one stays; an empty table gives an empty result;
-other columns of the input are ignored. Two different texts with one SHA-256 stop the job with an error.
+are below all others); of rows equal in doc_id and text exactly one stays; texts of any length are compared whole; an
+empty table gives an empty result; other columns of the input are ignored. Two different texts with one SHA-256 stop the job with an error.
 """
 
 from __future__ import annotations
@@ -160,11 +160,12 @@ def dedup_batch(batch: DataFrame, snapshot: Snapshot, id_col: str = "doc_id", te
 def exact_dedup(docs: DataFrame, arrived: F.Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row for each row of docs.
 
-    arrived tells the incoming batch from the snapshot that is already there; by default a document is incoming
-    where the CRC-32 of its id is odd, so that copies fall on both sides and within each.
+    arrived tells the incoming batch from the snapshot that is already there (null: it is there); by default a document
+    is incoming where the CRC-32 of its id is odd, so that copies fall on both sides and within each.
     """
-    arrived = (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 2 == 1) if arrived is None else arrived
-    snapshot = build_snapshot(docs.where(~arrived), id_col, text_col)
+    arrived = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 2 == 1 if arrived is None else F.coalesce(arrived, F.lit(False))
+    # Filters are as many as either side asks for, so that a large batch doesn't meet a small snapshot in one task.
+    snapshot = build_snapshot(docs.where(~arrived), id_col, text_col, expected_batch=docs.where(arrived).count())
     groups = written(dedup_batch(docs.where(arrived), snapshot, id_col, text_col), "groups")
     rows = _digested(docs, id_col, text_col).groupBy("doc_id", "digest").agg(F.count("*").alias("copies"))
     return (
