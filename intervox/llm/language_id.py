@@ -4,10 +4,13 @@ Trained by follow-the-regularised-leader with elastic-net penalties on a bounded
 a language); document frequencies are counted over all training rows; a temperature fitted on a part of the sample
 that FTRL did not see calibrates the scores. Only text is an input of a prediction.
 
+The sample and its order come from a hash of the text. Where lang has more than MOST_LANGUAGES values, those of the most
+rows are learned (ties: the smaller value), which bounds the model; rows of the others are predicted like all rows.
+
 Letters are lower-cased, all else is one space; n-grams of 1 to 3 characters are hashed into 2**BITS features.
 
-Defined cases: null text or one without a letter is 'und' with score 0; without any labelled row every text is; null
-ids count as the empty string; an empty table gives an empty result; repeated rows are scored alike; other columns
+Defined cases: null text or one without a letter is 'und' with score 0; without any labelled row every text is; texts
+of any length are taken whole; of languages that tie the first by name is predicted; null ids count as the empty string; an empty table gives an empty result; repeated rows are scored alike; other columns
 are ignored.
 """
 
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 BITS, ORDERS = 16, 3
 SIZE = 1 << BITS
-#: Sampled training rows of a language, and the most languages.
+#: Sampled training rows of a language, and the most languages that are learned.
 PER_LANGUAGE, MOST_LANGUAGES = 1500, 256
 #: FTRL: learning rate, its offset, the L1 and L2 penalties, passes.
 ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 0.02, 0.01, 3
@@ -154,18 +157,17 @@ def held_out(ident: F.Column) -> F.Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray, float] | None:
     """(languages, weights, idf, temperature), learned from the labelled rows that are not held out."""
     spark = docs.sparkSession
-    rows = docs.where(F.col(lang_col).isNotNull() & ~held_out(F.col(id_col))).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col, text_col).alias("h"))
-    sizes = sorted((r[0], r[1]) for r in rows.where(F.col("text").rlike(r"\p{L}")).groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect())
+    rows = docs.where(F.col(lang_col).isNotNull() & ~held_out(F.col(id_col))).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(text_col).alias("h"))
+    most = rows.where(F.col("text").rlike(r"\p{L}")).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    sizes = sorted((r[0], r[1]) for r in most.collect())
     if not sizes:
         return None
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     names = [x for x, _ in sizes]
     df, n = _document_frequencies(rows.select("text"))
     idf = np.log((1 + n) / (1 + df)) + 1
     shares = F.create_map(*[F.lit(x) for name, size in sizes for x in (name, float(min(1.0, PER_LANGUAGE / size)))])
     part = F.pmod(F.col("h"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = rows.where((part < shares[F.col("lang")]) & F.col("text").rlike(r"\p{L}")).select("h", "lang", "text")
+    sample = rows.where((part < F.coalesce(shares[F.col("lang")], F.lit(0.0))) & F.col("text").rlike(r"\p{L}")).select("h", "lang", "text")
 
     def count(batches):
         for batch in batches:
