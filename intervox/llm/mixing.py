@@ -2,12 +2,20 @@
 
 Every document of a source has the same rate: target of the source over its size. The whole part of the rate is
 taken as whole copies; the fraction is an inclusion probability that the cube method rounds to 0 or 1. Its flight
-moves the probabilities of three documents at a time through the null space of the two constraints (documents and
-words of the source), in groups of bounded size; what each group leaves undecided, two documents at most, meets in
-the next, smaller round, until one group a source is left, whose last documents are landed next to the target.
+moves the probabilities of three units at a time through the null space of the two constraints (units and words of
+the source), in groups of bounded size; what each group leaves undecided, two units at most, meets in the next, smaller
+round, until one group a source is left, whose last units are landed next to the target.
 
-Defined cases: a null text has size 0; null sources form the last source; a document of size 0 takes no words; equal
-sizes and repeated rows are separate units in a fixed order; empty tables give empty results; other columns are ignored.
+Rows equal in doc_id, text and source are one unit of so many copies: of n copies at probability p the whole part of
+n * p is taken once more for sure, and what is left over is the unit's own probability in the flight.
+
+Targets are found over the table of sources: their weights by rank, and the level at which sources below three times
+their size meet the whole, by Newton's method on a sum that grouped queries give; there may be any number of sources.
+
+Defined cases: a null text has size 0; texts of any length are counted whole; null sources form the last source; a
+document of size 0 takes no words; ties among sizes are in the order of doc_id (null ones last) and text; repeated rows
+are so many rows of the result; an empty table gives an empty result; other columns are ignored, or kept by
+mixed_documents, where repeated rows may differ in them.
 """
 
 from __future__ import annotations
@@ -16,15 +24,14 @@ import itertools
 import random
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import discard, fresh, join_small, written
 
-#: Documents of one flight group, and the most copies of a document.
+#: Units of one flight group, and the most copies of a document.
 GROUP, MOST_COPIES = 4096, 3
-#: Sources whose targets the driver computes.
-MOST_SOURCES = 100_000
+WEIGHTS = (1, 2, 3)
 
 
 def word_count(text: F.Column) -> F.Column:
@@ -32,22 +39,29 @@ def word_count(text: F.Column) -> F.Column:
     return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long")
 
 
-def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = (1, 2, 3), cap: float = MOST_COPIES) -> list[tuple[str | None, float]]:
-    """Words to take from each source: shares of the whole by weight, none above cap times the source's size."""
-    ordered = sorted((x for x in sizes if x[0] is not None), key=lambda x: x[0]) + [x for x in sizes if x[0] is None]
-    weight = {name: w for (name, _), w in zip(ordered, itertools.cycle(weights))}
-    size, out, left = dict(sizes), {}, float(sum(n for _, n in sizes))
-    active = [name for name, _ in ordered]
-    while active:
-        unit = left / sum(weight[x] for x in active)
-        full = [x for x in active if unit * weight[x] >= cap * size[x]]
-        if not full:
-            out |= {x: unit * weight[x] for x in active}
+def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MOST_COPIES) -> DataFrame:
+    """src (its rank), source, source_size, target of (source, source_size): shares of all by weight, none above cap times its size."""
+    ordered = sizes.orderBy(F.col("source").isNull(), "source").select("source", "source_size", F.monotonically_increasing_id().alias("at"))
+    ordered = written(ordered, "sources")
+    # The number holds the sorted partition and the place in it; there are no more partitions than tasks.
+    part = F.shiftright("at", 33)
+    counts = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = counts.withColumn("before", F.sum("n").over(Window.orderBy("part")) - F.col("n")).drop("n")
+    ranked = ordered.withColumn("part", part).join(F.broadcast(before), "part").select("source", "source_size", (F.col("before") + F.col("at") - F.shiftleft("part", 33)).alias("src"))
+    weight = F.get(F.array(*[F.lit(float(w)) for w in weights]), (F.col("src") % len(weights)).cast("int"))
+    ranked = written(ranked.withColumn("weight", weight), "ranked")
+    whole, level = ranked.agg(F.sum("source_size")).first()[0] or 0, 0.0
+    while whole:
+        # Sources that the level fills stay full at any higher one, so that it only rises, to the one at which all add up.
+        full = F.lit(level) * F.col("weight") >= cap * F.col("source_size")
+        taken, open_weight = ranked.agg(F.sum(F.when(full, cap * F.col("source_size"))), F.sum(F.when(~full, F.col("weight")))).first()
+        if not open_weight:
+            break
+        raised = (whole - (taken or 0)) / open_weight
+        if raised <= level:
             break
-        out |= {x: float(cap * size[x]) for x in full}
-        left = max(0.0, left - sum(out[x] for x in full))
-        active = [x for x in active if x not in out]
-    return [(x, out[x]) for x, _ in ordered]
+        level = raised
+    return ranked.select("src", "source", "source_size", F.least(cap * F.col("source_size").cast("double"), F.lit(level) * F.col("weight")).alias("target"))
 
 
 def flight(p: list[float], size: list[float], rng: random.Random) -> list[int]:
@@ -93,19 +107,19 @@ def _round(units: DataFrame, last: bool) -> DataFrame:
             land(p, size, waiting)
         return pdf.assign(p=p)[["src", "doc_id", "row_key", "size", "p"]]
 
-    return units.groupBy("src", "grp").applyInPandas(fly, "src int, doc_id long, row_key long, size long, p double")
+    return units.groupBy("src", "grp").applyInPandas(fly, "src long, doc_id long, row_key long, size long, p double")
 
 
 def cube_sample(units: DataFrame, group: int = GROUP) -> DataFrame:
-    """(src, doc_id, row_key, size, p) with p in [0, 1] constant in a source -> the same rows with p 0 or 1."""
+    """(src, doc_id, row_key, size, p) with p in [0, 1] -> the same rows with p 0 or 1, sums of p and p * size kept by src."""
     undecided, decided, level = units, None, 0
     while True:
-        most = undecided.groupBy("src").count().agg(F.max("count")).first()[0] or 0
-        last = most <= group
-        counts = undecided.groupBy("src").agg(F.ceil(F.count("*") / F.lit(group // 2)).cast("long").alias("groups"))
-        # Sources are few (MOST_SOURCES), and their counts are one row each.
-        grp = F.lit(0).cast("long") if last else F.pmod(F.xxhash64("doc_id", "row_key", F.lit(level)), F.col("groups"))
-        flown = written(_round(undecided.join(F.broadcast(counts), "src").withColumn("grp", grp), last), f"flight{level}")
+        counts = written(undecided.groupBy("src").agg(F.count("*").alias("n")), "counts")
+        last = (counts.agg(F.max("n")).first()[0] or 0) <= group
+        groups = F.ceil(F.col("n") / F.lit(group // 2)).cast("long")
+        grp = F.lit(0).cast("long") if last else F.pmod(F.xxhash64("doc_id", "row_key", F.lit(level)), groups)
+        flown = written(_round(join_small(undecided, counts, ["src"], "inner").withColumn("grp", grp), last), f"flight{level}")
+        discard(counts)
         done = flown.where("p = 0 or p = 1")
         decided = done if decided is None else decided.unionByName(done)
         if last:
@@ -113,36 +127,51 @@ def cube_sample(units: DataFrame, group: int = GROUP) -> DataFrame:
         undecided, level = flown.where("p > 0 and p < 1"), level + 1
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (1, 2, 3)) -> DataFrame:
+def decided_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
+    """doc_id, row_key, source, size, n (rows), source_size, target, whole, extra: all n rows are taken `whole` times, `extra` of them once more."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row_key"), F.col(source_col).cast("string").alias("source"), word_count(text).alias("size"))
+    units = written(rows.groupBy("doc_id", "row_key", "source", "size").agg(F.count("*").alias("n")), "units")
+    goals = written(source_targets(units.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights), "goals")
+    key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
+    units = join_small(units.withColumn("src_key", key), goals.select(key.alias("src_key"), "src", "source_size", "target"), ["src_key"], "inner").drop("src_key")
+    rate = F.when(F.col("source_size") > 0, F.least(F.lit(float(MOST_COPIES)), F.col("target") / F.col("source_size"))).otherwise(F.lit(0.0))
+    units = units.withColumn("whole", F.floor(rate + 1e-12).cast("int"))
+    more = F.greatest(F.lit(0.0), rate - F.col("whole")) * F.col("n")
+    units = written(units.withColumn("sure", F.floor(more + 1e-12).cast("long")).withColumn("p", F.greatest(F.lit(0.0), more - F.col("sure"))), "rated")
+    chosen = cube_sample(units.select("src", "doc_id", "row_key", "size", "p")).select(F.col("src").alias("c_src"), F.col("doc_id").alias("c_id"), F.col("row_key").alias("c_key"), F.col("size").alias("c_size"), F.col("p").cast("long").alias("one"))
+    same = (F.col("src") == F.col("c_src")) & F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("row_key") == F.col("c_key")) & (F.col("size") == F.col("c_size"))
+    return units.join(chosen, same).select("doc_id", "row_key", "source", "size", "n", "source_size", "target", "whole", (F.col("sure") + F.col("one")).alias("extra"))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
     """doc_id, row_key, source, size, source_size, target, copies, taken for each row of docs.
 
-    row_key tells rows of one doc_id apart by their text; rows equal in both share one decision.
+    row_key tells rows of one doc_id apart by their text; rows equal in doc_id, text and source may differ in copies by one.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row_key"), F.col(source_col).cast("string").alias("source"), word_count(text).alias("size")), "sizes")
-    sizes = [(r[0], r[1]) for r in rows.groupBy("source").agg(F.sum("size")).limit(MOST_SOURCES + 1).collect()]
-    if len(sizes) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    size_of = dict(sizes)
-    goals = [(i, name, size_of[name], goal) for i, (name, goal) in enumerate(targets(sizes, weights))]
-    goal = docs.sparkSession.createDataFrame(goals, "src int, source string, source_size long, target double")
-    named = goal.withColumnRenamed("source", "goal_source")
-    rows = rows.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("goal_source"))).drop("goal_source")
-    rate = F.when(F.col("source_size") > 0, F.least(F.lit(float(MOST_COPIES)), F.col("target") / F.col("source_size"))).otherwise(F.lit(0.0))
-    rows = rows.withColumn("whole", F.floor(rate + 1e-12).cast("int")).withColumn("p", F.greatest(F.lit(0.0), rate - F.col("whole")))
-    units = rows.groupBy("src", "doc_id", "row_key").agg(F.sum("size").alias("size"), F.max("p").alias("p"))
-    chosen = cube_sample(units).select(F.col("src").alias("c_src"), F.col("doc_id").alias("c_id"), F.col("row_key").alias("c_key"), F.col("p").cast("int").alias("extra"))
-    same = (F.col("src") == F.col("c_src")) & F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("row_key") == F.col("c_key"))
-    copies = F.col("whole") + F.col("extra")
-    return rows.join(chosen, same).select("doc_id", "row_key", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    units = decided_units(docs, id_col, text_col, source_col, weights)
+    rows = units.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    copies = F.col("whole") + F.when(F.col("copy") <= F.col("extra"), 1).otherwise(0)
+    return rows.select("doc_id", "row_key", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of docs, each as often as the mix takes it."""
-    taken = mix(docs, id_col, text_col, source_col).where("copies > 0")
+    units = decided_units(docs, id_col, text_col, source_col)
     key = lambda ident, row, src: F.concat_ws(":", F.coalesce(ident.cast("string"), F.lit("null")), row.cast("string"), F.coalesce(src, F.lit("\0")))
-    name = fresh(docs, "_key")
-    taken = taken.select(key(F.col("doc_id"), F.col("row_key"), F.col("source")).alias(name), F.sequence(F.lit(1), F.col("copies")).alias("_times")).distinct()
-    rows = docs.withColumn(name, key(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.col(source_col))).alias("r")
-    out = rows.join(taken.alias("t"), name).select("r.*", F.explode("t._times").alias(fresh(docs, "_copy")))
-    return out.select(*docs.columns)
+    name, n, whole, extra, times = (fresh(docs, x) for x in ("_key", "_n", "_whole", "_extra", "_times"))
+    units = units.where("whole * n + extra > 0").select(key(F.col("doc_id"), F.col("row_key"), F.col("source")).alias(name), F.col("n").alias(n), F.col("whole").alias(whole), F.col("extra").alias(extra))
+    units = written(units, "taken")
+    keyed = docs.withColumn(name, key(F.col(id_col).cast("long"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.col(source_col)))
+    rows = keyed.join(units, name)
+    out = rows.where(F.col(n) == 1).withColumn(times, (F.col(whole) + F.col(extra)).cast("int"))
+    if not units.where(F.col(n) > 1).isEmpty():
+        # Repeated rows are counted, by all their columns, before they are numbered: equal ones are one row there.
+        many = fresh(docs, "_count")
+        several = rows.where(F.col(n) > 1).groupBy(*docs.columns, name, n, whole, extra).agg(F.count("*").alias(many))
+        order = Window.partitionBy(name).orderBy(F.xxhash64(*[c for c, t in docs.dtypes if "map" not in t]))
+        before = F.coalesce(F.sum(many).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        more = F.greatest(F.lit(0), F.least(F.col(many), F.col(extra) - before))
+        several = several.withColumn(times, (F.col(many) * F.col(whole) + more).cast("int")).drop(many)
+        out = out.unionByName(several.select(*out.columns))
+    return out.where(F.col(times) > 0).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
