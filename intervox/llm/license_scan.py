@@ -2,12 +2,15 @@
 
 All rolling word k-gram hashes of the texts are joined to the positions of those grams in the license templates. A
 match votes for the diagonal (document position minus template position); votes are aggregated by document, template
-and diagonal; neighbouring diagonals merge into spans; a span is verified by the share of its template that it covers.
+and diagonal; neighbouring diagonals merge into spans; a span is verified by the share of its template that it covers:
+all of a short one (so that the word which tells licenses of a family apart must be there), most of a longer one, or a
+long dense part of a whole license text.
 
-The template table is fixed (a few hundred grams), so it is broadcast; keys are documents, so no key is hot.
+The template table is fixed (some two thousand grams), so it is broadcast; keys are documents, so no key is hot.
 
-Defined cases: null text counts as empty and has no words; a template shorter than k words has no grams; rows equal in
-doc_id and text have the same result, each its own row; an empty table gives an empty result; other columns are ignored.
+Defined cases: null text counts as empty and has no words; texts of any length are scanned whole; a template shorter
+than k words has no grams; labels that tie all count; rows equal in doc_id and text, or with a null doc_id, have the
+same result where their texts are equal, each its own row; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,8 +25,9 @@ from pyspark.sql import functions as F
 K = 3
 #: Neighbouring diagonals: at most so many words shifted and so many apart.
 SHIFT, GAP = 2, 8
-#: A span is verified if it covers so much of its template, or holds so many grams as densely.
-COVERAGE, LONG_SPAN = 0.6, 12
+#: A span is verified if it covers so much of its template, or holds so many grams as densely; a template of at most
+#: SHORT grams must be covered whole.
+COVERAGE, LONG_SPAN, SHORT = 0.6, 12, 8
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -31,24 +35,37 @@ NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases that name a license, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Sentences of public license texts and notices, and their labels.
+#: Texts, sentences and notices of public licenses, and their labels.
 TEMPLATES = [
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"),
     ("apache", "licensed under the apache license version 2 0"),
     ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license"),
     ("gpl", "licensed under the gnu general public license version 3"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("lgpl", "licensed under the gnu lesser general public license"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details you should have received a copy of the gnu general public license along with this program"),
+    ("lgpl", "gnu lesser general public license"),
+    ("agpl", "gnu affero general public license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("cc-by", "licensed under cc by 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-nd", "licensed under cc by nd 4 0"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions the origin of this software must not be misrepresented you must not claim that you wrote the original software if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not required altered source versions must be plainly marked as such and must not be misrepresented as being the original software this notice may not be removed or altered from any source distribution"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("cc-by", "cc by 4 0"),
+    ("cc-by-sa", "cc by sa 4 0"),
+    ("cc-by-nc", "cc by nc 4 0"),
+    ("cc-by-nd", "cc by nd 4 0"),
+    ("cc-by-nc-sa", "cc by nc sa 4 0"),
+    ("cc-by-nc-nd", "cc by nc nd 4 0"),
+    ("cc-by", "creative commons attribution 4 0 international license"),
+    ("cc-by-sa", "creative commons attribution sharealike 4 0 international license"),
+    ("cc-by-nc", "creative commons attribution noncommercial 4 0 international license"),
     ("cc0", "to the extent possible under law the author has dedicated all copyright and related rights to the public domain"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"),
 ]
 
 
@@ -88,7 +105,8 @@ def license_spans(docs: DataFrame, templates=TEMPLATES, k: int = K, id_col: str
     )
     covers = F.col("matched") / F.col("t_grams")
     dense = (F.col("matched") >= LONG_SPAN) & (F.col("matched") >= COVERAGE * (F.col("last") - F.col("first_word") + 1))
-    return spans.where((covers >= COVERAGE) | dense).select(
+    needed = F.when(F.col("t_grams") <= SHORT, 1.0).otherwise(COVERAGE)
+    return spans.where((covers >= needed) | dense).select(
         "doc_id", "row_key", "label", "template", F.col("first_word").cast("long"), (F.col("last") + k - 1).cast("long").alias("last_word"), "matched", covers.alias("coverage")
     )
 

@@ -90,7 +90,7 @@ spans AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY lo,
 sized AS (SELECT doc_id, template, label, t_grams, min(lo) AS lo, max(hi) AS hi, len(list_distinct(flatten(list(hits)))) AS matched
           FROM spans GROUP BY doc_id, template, label, t_grams, span),
 found AS (SELECT doc_id, list(DISTINCT label) AS found, max(matched / t_grams) AS coverage FROM sized
-          WHERE matched / t_grams >= {license_scan.COVERAGE}
+          WHERE matched / t_grams >= CASE WHEN t_grams <= {license_scan.SHORT} THEN 1.0 ELSE {license_scan.COVERAGE} END
              OR (matched >= {license_scan.LONG_SPAN} AND matched >= {license_scan.COVERAGE} * (hi - lo + 1)) GROUP BY doc_id),
 places AS ({' UNION ALL '.join(places)}),
 base AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS base_labels FROM places GROUP BY doc_id)
@@ -122,11 +122,11 @@ WORDS_SQL = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACES}'),
 
 ORACLES = {
     "op3_topk_search": """
-WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS q FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS row_no, vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS q FROM embeddings
            WHERE len(embedding) > 0 AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
-      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
-SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+s AS (SELECT a.row_no, a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM v a JOIN v b ON a.row_no <> b.row_no WHERE a.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY row_no ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 5""",
     "op6_jaccard_join": f"""
 WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS_SQL} AS w FROM documents),

@@ -10,8 +10,9 @@ Shards and query blocks are of bounded size; a task searches one shard for one b
 shards are ranked last. Every vector is in the index, and no pair is left out unproven.
 
 Defined cases: vectors that are null, empty or hold a null or non-finite component take no part; shorter vectors are
-padded with zeros; equal rows count once; rows of the query's own vec_id are not its candidates; ties go to the smaller
-vec_id; null vec_ids take no part; with fewer candidates than k all are returned; other columns are ignored.
+padded with zeros; every row is a vector of its own, so repeated rows are so many candidates and so many queries, and
+only the query's own row isn't its candidate; ties go to the smaller vec_id; null vec_ids take no part; with fewer
+candidates than k all are returned; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,33 +27,33 @@ from .common import partitions, written
 SCALE, LEVEL, K = 256, 16, 5
 #: Components of a shard; queries of a block, at most and, where there are fewer tasks than partitions, at least.
 SHARD, BLOCK, LEAST_BLOCK = 1 << 22, 4096, 64
-#: Share of a shard that may be left to exact rescoring, and the points at which it is tested.
-POSSIBLE = 1 / 16
-TESTS = (0.3, 0.5, 0.7, 0.8, 0.9, 0.95)
+#: Share of a shard that may be left to exact rescoring; it is tested whenever the bound has fallen to so much of what
+#: it was at the last test.
+POSSIBLE, FALLEN = 1 / 16, 0.85
 
 _INDEX = "shard long, dim int, level long, ids binary, impacts binary"
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """vec_id, q (array<long>) of the vectors that take part, equal rows once."""
+    """vec_id, q (array<long>) of the vectors that take part."""
     x = F.col(vector_col).cast("array<double>")
     odd = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
     rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0) & ~odd)
-    return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v * scale)).alias("q")).distinct()
+    return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v * scale)).alias("q"))
 
 
 def build_index(vectors: DataFrame, shards: int) -> DataFrame:
     """Posting segments of quantised vectors: shard, dim, level, and the packed ids and exact impacts.
 
-    dim -1 holds the shard's vec_ids; ids elsewhere are positions in it.
+    dim -1 holds the shard's vec_ids and, as impacts, its rows; ids elsewhere are positions in it.
     """
 
     def build(table: pa.Table) -> pa.Table:
-        x, ids, shard = _matrix(table["q"]), table["vec_id"].to_numpy(), table["shard"][0].as_py()
-        order = np.argsort(ids, kind="stable")
-        x, ids = x[order], ids[order]
+        x, ids, rows, shard = _matrix(table["q"]), table["vec_id"].to_numpy(), table["row"].to_numpy(), table["shard"][0].as_py()
+        order = np.lexsort((rows, ids))
+        x, ids, rows = x[order], ids[order], rows[order]
         kind = np.int32 if np.abs(x).max(initial=0) < 1 << 31 else np.int64
-        out = [(shard, -1, 0, ids.astype(np.int64).tobytes(), b"")]
+        out = [(shard, -1, 0, ids.astype(np.int64).tobytes(), rows.astype(np.int64).tobytes())]
         for d in range(x.shape[1]):
             level = np.floor_divide(x[:, d], LEVEL)
             by = np.argsort(-level, kind="stable")
@@ -62,7 +63,7 @@ def build_index(vectors: DataFrame, shards: int) -> DataFrame:
         types = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["shard", "dim", "level", "ids", "impacts"])
 
-    rows = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
+    rows = vectors.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
     return rows.groupBy("shard").applyInArrow(build, _INDEX)
 
 
@@ -79,7 +80,7 @@ class Shard:
 
     def __init__(self, index: pa.Table):
         rows = list(zip(*[index[c].to_pylist() for c in ("dim", "level", "ids", "impacts")]))
-        self.vec_ids = np.frombuffer(next(r[2] for r in rows if r[0] == -1), np.int64)
+        self.vec_ids, self.rows = next([np.frombuffer(x, np.int64) for x in r[2:]] for r in rows if r[0] == -1)
         rows = sorted((r for r in rows if r[0] >= 0), key=lambda r: (r[0], r[1]))
         self.dim = np.asarray([r[0] for r in rows])
         self.ids = [np.frombuffer(r[2], np.int32) for r in rows]
@@ -91,7 +92,7 @@ class Shard:
             self.vectors[ids, d] = x
 
     def search(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, float]:
-        """vec_ids and scores of the k best, best first, and the share of segments that was processed."""
+        """vec_ids and scores of the k best but row `own`, best first, and the share of segments that was processed."""
         dims = self.vectors.shape[1]
         q = np.r_[q, np.zeros(max(0, dims - len(q)), np.int64)][:dims]
         weight = q[self.dim]
@@ -108,18 +109,18 @@ class Shard:
         start = np.zeros(dims, np.int64)
         np.maximum.at(start, self.dim, gain)
         left = start.sum() + np.cumsum((following - gain)[order])
-        tests = {int(len(order) * x) for x in TESTS}
         score = np.zeros(len(self.vec_ids), np.int64)
-        others = self.vec_ids != own
+        others = self.rows != own
         k = min(k, int(others.sum()))
         if k == 0:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), 0.0
         possible = np.flatnonzero(others)
-        done = 0
+        done, tested = 0, int(start.sum())
         for done, s in enumerate(order, 1):
             if weight[s]:
                 score[self.ids[s]] += weight[s] * self.impacts[s] - floor[self.dim[s]]
-            if done in tests or done == len(order):
+            if left[done - 1] <= FALLEN * tested or done == len(order):
+                tested = left[done - 1]
                 mine = score[others]
                 least = np.partition(mine, len(mine) - k)[len(mine) - k]
                 may = score + left[done - 1] >= least
@@ -132,31 +133,33 @@ class Shard:
 
 
 def search(index: DataFrame, queries: DataFrame, shards: int, k: int = K) -> DataFrame:
-    """query_id, rank, vec_id, score, processed: the k best of every query (vec_id, q) over all shards of the index."""
+    """query_id, rank, vec_id, score, processed: the k best of every query (vec_id, row, q) over all shards of the index."""
     asked = queries.count()
     blocks = max(1, -(-asked // BLOCK), min(-(-asked // LEAST_BLOCK), -(-partitions(queries.sparkSession) // shards)))
-    asked = queries.select(F.col("vec_id").alias("query_id"), "q", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block"))
+    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("row").alias("query"), "q", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).alias("block"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     held = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def find(own: pa.Table, segments: pa.Table) -> pa.Table:
-        out = ([], [], [], [])
+        out = ([], [], [], [], [])
         if own.num_rows and segments.num_rows:
             shard = Shard(segments)
-            for query_id, q in zip(own["query_id"].to_pylist(), own["q"]):
-                ids, scores, processed = shard.search(query_id, q.values.to_numpy(zero_copy_only=False).astype(np.int64), k)
-                for column, x in zip(out, ([query_id] * len(ids), ids, scores, [processed] * len(ids))):
+            for query_id, query, q in zip(own["query_id"].to_pylist(), own["query"].to_pylist(), own["q"]):
+                ids, scores, processed = shard.search(query, q.values.to_numpy(zero_copy_only=False).astype(np.int64), k)
+                for column, x in zip(out, ([query_id] * len(ids), [query] * len(ids), ids, scores, [processed] * len(ids))):
                     column.extend(x)
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "vec_id", "score", "processed"])
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["query_id", "query", "vec_id", "score", "processed"])
 
-    found = asked.groupBy("shard", "block").cogroup(held.groupBy("shard", "block")).applyInArrow(find, "query_id long, vec_id long, score long, processed double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = asked.groupBy("shard", "block").cogroup(held.groupBy("shard", "block")).applyInArrow(find, "query_id long, query long, vec_id long, score long, processed double")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "processed")
 
 
 def top_k(vectors: DataFrame, is_query: F.Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score, processed for the rows of vectors where is_query holds."""
-    rows = written(quantised(vectors, id_col, vector_col), "vectors")
+    # Numbers of rows of a written table: they stay as they are once it is there.
+    rows = written(quantised(vectors, id_col, vector_col).withColumn("row", F.monotonically_increasing_id()), "vectors")
     n, dims = rows.agg(F.count("*"), F.max(F.size("q"))).first()
     shards = max(1, -(-n * (dims or 0) // SHARD))
     return search(written(build_index(rows, shards), "index"), rows.where(is_query), shards, k)
