@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and all rows that its predecessor kept; all but the last return the columns of
 documents. Packing can't be told in SQL, nor can the classifier's fit, so ORACLE_SQL is None and tests hold each stage
 against a brute-force version. A document that the mix takes several times is that many rows.
+
+Defined cases, at every stage: a null text counts as empty; texts without words go with the first stage; documents of
+any length stay whole; rows with null or repeated doc_ids are told apart by their text; rows equal in doc_id and text
+are one document after the exact dedup; ties go as each operator tells; other columns stay, whatever their names; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from intervox.llm import exact_dedup, jaccard_join, mixing, packing, quality
-from intervox.llm.common import table, written
+from intervox.llm.common import discard, table, written
 from intervox.llm.queries import tokenizer_path
 
 
@@ -49,5 +54,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of documents after all stages."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        done, docs = docs, written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(done)
     return STAGES[-1][1](spark, docs, sf_dir)

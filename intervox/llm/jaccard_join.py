@@ -33,12 +33,12 @@ from .common import components, discard, fresh, gram_hashes, join_small, mix64,
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
 #: Levels of a tree, and how many times 1 / (threshold * size) are sampled below the first.
 DEPTH, SPLIT = 3, 3.0
-#: Sets of a bucket that are compared at once.
-SMALL = 256
+#: Sets of a bucket that are compared pair by pair; sending more of them down costs less than comparing their sketches.
+SMALL = 2048
 #: Sketch bins; estimates from which sets are linked, and from which one can be left to its leader.
 BINS, LINK, LEADER = 128, 0.45, 0.9
 #: Sets of one bucket part, and of one verification tile.
-PART, TILE = 2048, 512
+PART, TILE = 1024, 512
 
 
 def survival(depth: int = DEPTH, split: float = SPLIT) -> float:
@@ -193,8 +193,8 @@ def _buckets(sets: DataFrame, rows: DataFrame) -> DataFrame:
 
 def _split(large: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
     """(rep, path): the children that the members of large buckets (path, rep) enter."""
-    nodes = large.groupBy("rep").agg(F.collect_list("path").alias("nodes"))  # a set's own paths, some tens
-    wanted = written(nodes.join(sets.select("rep", "digest", "doc_id"), "rep"), "large")
+    nodes = written(large.groupBy("rep").agg(F.collect_list("path").alias("nodes")), "nodes")  # a set's own paths, some tens
+    wanted = written(sets.select("rep", "digest", "doc_id").join(nodes, "rep", "left_semi"), "large")
 
     def descend(batches):
         for batch in batches:
@@ -202,7 +202,7 @@ def _split(large: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
             rep = np.repeat(batch.column(0).to_numpy(), [len(x) for x in found])
             yield pa.RecordBatch.from_pydict({"rep": rep, "path": np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)})
 
-    return written(_texts(rows, wanted).select("rep", "nodes", "text").mapInArrow(descend, "rep long, path long"), "children")
+    return written(join_small(_texts(rows, wanted), nodes, ["rep"], "inner").select("rep", "nodes", "text").mapInArrow(descend, "rep long, path long"), "children")
 
 
 def _candidate_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
