@@ -37,7 +37,7 @@ WINDOW = 13
 #: Words of an anchor.
 ANCHOR = 2
 #: Suffixes of one group on the average; words that a task handles at once; words of one bucket of documents.
-GROUP, CHUNK, BUCKET = 600_000, 1_000_000, 1_000_000
+GROUP, CHUNK, BUCKET = 900_000, 600_000, 1_000_000
 #: The most anchors that are called frequent (a table of 8 bytes each), and the most partitions of a shuffle.
 MOST_FREQUENT, MOST_PARTITIONS = 1 << 20, 1 << 17
 NO_ID = -(1 << 63)
@@ -50,8 +50,8 @@ def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ranked = keys[order]
     new = np.ones(len(keys), bool)
     new[1:] = ranked[1:] != ranked[:-1]
-    out = np.empty(len(keys), np.int64)
-    out[order] = np.cumsum(new) - 1
+    out = np.empty(len(keys), np.int32)
+    out[order] = np.cumsum(new, dtype=np.int32) - 1
     return out, np.diff(np.append(np.flatnonzero(new), len(keys)))
 
 
@@ -63,10 +63,11 @@ def late_windows(codes: np.ndarray, at: np.ndarray, ids: np.ndarray, window: int
     late = np.zeros(len(at), bool)
     if len(at) < 2:
         return late
-    ranks, step = codes.astype(np.int64), 1
+    ranks, step = codes, 1
     counts = np.bincount(ranks)
+    pair = lambda a, b: a * np.int64(len(counts)) + b
     while 2 * step <= min(window, 4):
-        ranks, counts = _numbered(ranks[: len(ranks) - step] * len(counts) + ranks[step:])
+        ranks, counts = _numbered(pair(ranks[: len(ranks) - step], ranks[step:]))
         step *= 2
     shared = counts[ranks] > 1
     offsets = [*range(0, window - step, step), window - step]
@@ -75,7 +76,7 @@ def late_windows(codes: np.ndarray, at: np.ndarray, ids: np.ndarray, window: int
         return late
     key = ranks[at[on]]
     for o in offsets[1:]:
-        key, n = _numbered(key * len(counts) + ranks[at[on] + o])
+        key, n = _numbered(pair(key, ranks[at[on] + o]))
         more = n[key] > 1
         on, key = on[more], key[more]
         if not len(on):
@@ -207,6 +208,16 @@ def unpack_runs(runs: int, size: int, payload) -> list[np.ndarray]:
     return [np.cumsum(out[0]), *out[1:], np.frombuffer(whole, np.uint8, offset=at) if at < size else np.zeros(0, np.uint8)]
 
 
+def pack_texts(column: pa.Array) -> tuple[list[int], list[bytes | None]]:
+    """The size of each text and its packed bytes, null where it is."""
+    texts = [x.as_buffer() if x.is_valid else None for x in column]
+    return [x.size if x is not None else 0 for x in texts], [_CODEC.compress(x, asbytes=True) if x is not None else None for x in texts]
+
+
+def unpack_text(size: int, packed) -> bytes:
+    return _CODEC.decompress(packed, size, asbytes=True)
+
+
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [[]] * len(_NAMES)
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, [pa.int64()] * 4 + [pa.binary()])], names=_NAMES)
@@ -311,10 +322,11 @@ def _by_document(docs: DataFrame, work, schema: str, window: int, id_col: str, t
             # Rows without an id have no flags to meet, and go anywhere.
             ids = pc.coalesce(batch.column(0), batch.column(1).cast(pa.int64()))
             bucket = bucket_numbers(ids.to_numpy(zero_copy_only=False), buckets)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), *batch.columns], names=["bucket", "doc_id", "tag", "text"])
+            size, packed = pack_texts(batch.column(2))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), *batch.columns[:2], pa.array(size, pa.int64()), pa.array(packed, pa.binary())], names=["bucket", "doc_id", "tag", "size", "packed"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _tag(text_col).alias("tag"), F.col(text_col).alias("text"))
-    rows = rows.mapInArrow(number, "bucket long, doc_id long, tag int, text string")
+    rows = rows.mapInArrow(number, "bucket long, doc_id long, tag int, size long, packed binary")
 
     def finish(own: pa.Table, flags: pa.Table) -> pa.Table:
         places: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -324,8 +336,8 @@ def _by_document(docs: DataFrame, work, schema: str, window: int, id_col: str, t
             for a, b in zip(cut, [*cut[1:], len(ids)]):
                 places.setdefault((int(ids[a]), int(tags[a])), []).append((pos[a:b], n[a:b]))
         out = []
-        for doc_id, tag, text in zip(own["doc_id"], own["tag"], own["text"]):
-            words = (text.as_buffer().to_pybytes() if text.is_valid else b"").split()
+        for doc_id, tag, size, packed in zip(own["doc_id"], own["tag"], own["size"].to_pylist(), own["packed"]):
+            words = unpack_text(size, packed.as_buffer()).split() if packed.is_valid else []
             found = places.get((doc_id.as_py(), tag.as_py()))
             covered = np.zeros(len(words), bool)
             if found:
