@@ -447,10 +447,28 @@ def merge_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ctc.merge_words(runs, ["vec_id"]), "score")
 
 
-@query()
+#: One row a vector and frame, with its best beams: each has its token and its path, latest point last.
+BEAM, WIDTH = 2, "lambda x: {'j': x.j, 'path': list_append(x.path, {'j': x.j, 't': (t - 1)::BIGINT, 'p': exp(x.p)})}"
+BEAMS = f"""{TRELLIS},
+beams(vec_id, em, t, b) AS (
+  SELECT vec_id, em, {c.FRAMES - 1}, [{{'j': {J - 1}::BIGINT, 'path': [{{'j': {J - 1}::BIGINT, 't': {c.FRAMES - 1}::BIGINT, 'p': exp(em[{c.FRAMES}][1])}}]}}] FROM em
+  UNION ALL
+  SELECT vec_id, em, t - 1, list_transform(list_sort(grown)[1:{BEAM}], {WIDTH}) FROM (
+    SELECT p.vec_id, p.em, p.t, flatten(list_transform(range(len(p.b)), lambda i: list_filter([
+      {{'s': -tr.r[p.b[i + 1].j + 1], 'k': 2 * i, 'j': p.b[i + 1].j, 'p': p.em[p.t][1], 'path': p.b[i + 1].path}},
+      {{'s': CASE WHEN p.b[i + 1].j > 0 THEN -tr.r[p.b[i + 1].j] ELSE 'inf'::DOUBLE END, 'k': 2 * i + 1, 'j': p.b[i + 1].j - 1,
+        'p': CASE WHEN ({TOK})[p.b[i + 1].j + 1] = -1 THEN list_max(p.em[p.t][2:]) ELSE p.em[p.t][({TOK})[p.b[i + 1].j + 1] + 1] END, 'path': p.b[i + 1].path}}],
+      lambda x: NOT isinf(x.s)))) AS grown
+    FROM beams p JOIN tr ON tr.vec_id = p.vec_id AND tr.t = p.t - 1 WHERE p.t > 0 AND len(p.b) > 0 AND p.b[1].j > 0)),
+best AS (SELECT vec_id, em, t, b[1].path AS path FROM beams WHERE len(b) > 0 AND b[1].j = 0),
+points AS (SELECT vec_id, x.j AS j, x.t AS t, x.p AS p FROM (SELECT vec_id, unnest(path) AS x FROM best)
+  UNION ALL SELECT vec_id, 0, k, exp(em[k + 1][1]) FROM (SELECT vec_id, em, unnest(range(t)) AS k FROM best))"""
+
+
+@query(f"""{BEAMS} SELECT vec_id, j::BIGINT AS token_index, min(t)::BIGINT AS "start", (max(t) + 1)::BIGINT AS "end", round(avg(p), 9) AS score FROM points GROUP BY vec_id, j""")
 def beam_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ctc.align_runs(c.emissions(spark, sf_dir), beam=2).select("vec_id", F.explode("runs").alias("r")).select("vec_id", "r.*")
-    return rounded(rows, "score")
+    rows = ctc.align_runs(c.emissions(spark, sf_dir), beam=BEAM).select("vec_id", F.explode("runs").alias("r")).select("vec_id", "r.*")
+    return rounded(rows.withColumns({x: F.col(x).cast("long") for x in ("token_index", "start", "end")}), "score")
 
 
 @query()
@@ -486,7 +504,14 @@ def cluster_speakers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster_speakers(rows, number=3)
 
 
-@query()
+@query("""n AS (SELECT conv_id::VARCHAR AS recording_id, turn AS ord, length(text) AS n FROM conversations),
+f AS (SELECT *, coalesce(sum(3 * n + 50) OVER (PARTITION BY recording_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a FROM n),
+heard AS (SELECT recording_id, ord, (a * 320)::DOUBLE / 16000 AS s, ((a + 3 * n) * 320)::DOUBLE / 16000 AS e FROM f WHERE n > 0),
+p(recording_id, ord, piece, whole, s, e) AS (
+  SELECT recording_id, ord, 0, e - s, s, e FROM heard WHERE e - s >= 0.5::DOUBLE
+  UNION ALL SELECT recording_id, ord, piece + 1, whole, s + 30::DOUBLE, e FROM p WHERE whole > 30::DOUBLE AND s + 30::DOUBLE < e)
+SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY ord, piece) - 1 AS ord, round(s, 9) AS "start",
+round(CASE WHEN e - s > 30::DOUBLE THEN least(s + 30::DOUBLE, e) ELSE e END, 9) AS "end", NULL::VARCHAR AS speaker FROM p""")
 def provider_vad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speech of generated recordings: the utterances of a conversation as tones with silence between them."""
 
@@ -499,4 +524,4 @@ def provider_vad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     said = c.utterances(spark, sf_dir).select("recording_id", "ord", F.length("text").alias("n"))
     audio = said.groupBy("recording_id").applyInPandas(sing, "recording_id string, content binary")
-    return rounded(detect_speech(audio), "start", "end")
+    return rounded(detect_speech(audio).withColumn("ord", F.col("ord").cast("long")), "start", "end")
