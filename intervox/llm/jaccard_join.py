@@ -9,9 +9,10 @@ sketches well below the threshold, and linked along a spanning forest of what pa
 verified by exact Jaccard, whole group against whole group, in tiles of TILE sets where they are large.
 
 Equal texts are one set throughout (their copies share class and links), so no pairs of copies are made. No bucket or
-group is cut: a bucket that stays large is worked in parts, where a set within LEADER of a leader is left to it; the
-leaders of all parts then meet pair by pair (Jaccard distance is a metric, so leaders of a pair at the threshold are
-0.6 alike, and candidates link down to LINK), and a large group in tile pairs.
+group is cut: buckets are worked in pairs of parts of PART sets, and large groups in pairs of tiles, which are tasks'
+work alike. In a bucket that stays over SMALL at the last level a set within LEADER of a leader of its part is left to
+it first, and the leaders go on (Jaccard distance is a metric, so leaders of a pair at the threshold are 0.6 alike, and
+candidates link down to LINK).
 
 Defined cases: null text counts as empty; a text of one to four words is one shingle; a text without words has none
 and no links; texts of any length are taken whole; rows that repeat a doc_id or have none are told apart by their text;
@@ -33,12 +34,12 @@ from .common import components, discard, fresh, gram_hashes, join_small, mix64,
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
 #: Levels of a tree, and how many times 1 / (threshold * size) are sampled below the first.
 DEPTH, SPLIT = 3, 3.0
-#: Sets of a bucket that are compared pair by pair; sending more of them down costs less than comparing their sketches.
-SMALL = 2048
+#: Sets of a bucket that are compared pair by pair: to here that takes less time than sending them down a level.
+SMALL = 4096
 #: Sketch bins; estimates from which sets are linked, and from which one can be left to its leader.
 BINS, LINK, LEADER = 128, 0.45, 0.9
 #: Sets of one bucket part, and of one verification tile.
-PART, TILE = 1024, 512
+PART, TILE = 1024, 256
 
 
 def survival(depth: int = DEPTH, split: float = SPLIT) -> float:
@@ -90,9 +91,14 @@ def sketch(tokens: np.ndarray) -> bytes:
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated Jaccard similarity of sketches, row by row."""
-    either = ((a > 0) | (b > 0)).sum(axis=-1)
-    return ((a == b) & (a > 0)).sum(axis=-1) / np.maximum(either, 1)
+    """Estimated Jaccard similarity of each sketch of a to each of b."""
+    full_a, full_b = (a > 0).astype(np.float32), (b > 0).astype(np.float32)
+    either = full_a.sum(axis=1)[:, None] + full_b.sum(axis=1)[None, :] - full_a @ full_b.T
+    bins, equal = np.ascontiguousarray(b.T), np.empty((len(a), len(b)), np.uint8)
+    for i, x in enumerate(a):
+        equal[i] = (bins == x[:, None]).view(np.uint8).sum(axis=0, dtype=np.uint8)
+    # Bins that are empty in both are equal, but no match.
+    return (equal - (a.shape[1] - either)) / np.maximum(either, 1)
 
 
 def chosen_children(tokens: np.ndarray, nodes: np.ndarray, rate: float) -> np.ndarray:
@@ -127,22 +133,21 @@ def link_bucket(sketches: np.ndarray, link: float = LINK, leader: float = LEADER
 
     Each leader is compared to all rows that are left; rows within `leader` of it need no comparison of their own.
     """
-    m = len(sketches)
-    left, leaders, pairs = np.arange(m), [], []
+    near, left, leaders, pairs = alike(sketches, sketches), np.arange(len(sketches)), [], []
     while len(left):
         first, left = left[0], left[1:]
         leaders.append(first)
-        s = alike(sketches[left], sketches[first][None, :])
-        near = left[s >= link]
-        pairs.append(np.stack([np.full(len(near), first), near]))
+        s = near[first, left]
+        linked = left[s >= link]
+        pairs.append(np.stack([np.full(len(linked), first), linked]))
         left = left[s < leader]
     a, b = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), int)
-    return _first_of(np.arange(m), a, b), np.asarray(leaders)
+    return _first_of(np.arange(len(sketches)), a, b), np.asarray(leaders)
 
 
 def _digested(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"))
+    return docs.select(F.col(id_col).try_cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"))
 
 
 def _sets(rows: DataFrame, runs: int) -> DataFrame:
@@ -205,43 +210,85 @@ def _split(large: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
     return written(join_small(_texts(rows, wanted), nodes, ["rep"], "inner").select("rep", "nodes", "text").mapInArrow(descend, "rep long, path long"), "children")
 
 
+def link_parts(a: np.ndarray, b: np.ndarray, link: float = LINK) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of sketches a and rows of sketches b whose links, with those within a and within b, connect what the two parts hold.
+
+    Components within a part are found again and count as one, so that few links are left to tell.
+    """
+    own = [link_bucket(x, link, leader=2.0)[0] for x in (a, b)]
+    labels = np.concatenate([own[0], own[1] + len(a)])
+    rows, others, across = [], [], alike(a, b) >= link
+    for i in np.flatnonzero(across.any(axis=1)):
+        near = np.flatnonzero(across[i]) + len(a)
+        if len(near := near[labels[near] != labels[i]]):
+            at = np.unique(labels[near], return_index=True)
+            rows += [i] * len(at[0])
+            others += (near[at[1]] - len(a)).tolist()
+            joined = np.isin(labels, [labels[i], *at[0]])
+            labels[joined] = labels[joined].min()
+    return np.asarray(rows, int), np.asarray(others, int)
+
+
+def _marks(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """reps in order, and their sketches."""
+    rep, marks = group["rep"].to_numpy(), np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
+    order = np.argsort(rep, kind="stable")
+    return rep[order], marks[order]
+
+
+def _leaders(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b) links to the leaders of the parts of buckets (path, n, rep, sketch), and the leaders as such rows, with n theirs."""
+    parts = F.ceil(F.col("n") / F.lit(PART)).cast("int")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("rep"), parts).cast("int"))
+
+    def work(batches):
+        for group in sorted_groups(batches, ["path", "part"]):
+            rep, marks = _marks(group)
+            to, leaders = link_bucket(marks)
+            linked, path = np.flatnonzero(to != np.arange(len(to))), group["path"][0].as_py()
+            yield pa.RecordBatch.from_pydict({"path": pa.nulls(len(linked), pa.int64()), "a": rep[to[linked]], "b": rep[linked], "sketch": pa.nulls(len(linked), pa.binary())})
+            yield pa.RecordBatch.from_pydict({"path": pa.array([path] * len(leaders), pa.int64()), "a": rep[leaders], "b": rep[leaders], "sketch": pa.array([marks[i].tobytes() for i in leaders], pa.binary())})
+
+    dealt = rows.select("path", "part", "rep", "sketch").repartition(partitions(rows.sparkSession), "path", "part").sortWithinPartitions("path", "part")
+    found = written(dealt.mapInArrow(work, "path long, a long, b long, sketch binary"), "leaders")
+    left = found.where("path is not null").select("path", F.col("a").alias("rep"), "sketch")
+    sizes = written(left.groupBy("path").agg(F.count("*").alias("n")), "sizes")
+    return found.where("path is null").select("a", "b"), join_small(left, sizes, ["path"], "inner")
+
+
 def _candidate_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): links along a spanning forest of each bucket's sketch graph."""
-    spark = buckets.sparkSession
-    rows, links = buckets.join(sets.select("rep", "sketch"), "rep"), []
-    for last in (False, True):
-        parts = F.ceil(F.col("n") / F.lit(PART)).cast("int")
-        rows = rows.withColumn("mine", F.pmod(F.xxhash64("rep", F.lit(last)), parts).cast("int"))
-        if last:  # every part of leaders meets every other
-            rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-            rows = rows.withColumn("part", F.least("mine", "other") * parts + F.greatest("mine", "other"))
-        else:
-            rows = rows.withColumn("part", F.col("mine"))
-
-        def work(batches, last=last):
-            for group in sorted_groups(batches, ["path", "part"]):
-                again = not last and group["n"][0].as_py() > PART
-                if group.num_rows < 2 and not again:
-                    continue
-                rep = group["rep"].to_numpy()
-                marks = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
-                order = np.argsort(rep, kind="stable")
-                rep, marks = rep[order], marks[order]
-                to, leaders = link_bucket(marks, leader=2.0 if last else LEADER)
-                linked = np.flatnonzero(to != np.arange(len(to)))
-                yield pa.RecordBatch.from_pydict({"path": pa.nulls(len(linked), pa.int64()), "a": rep[to[linked]], "b": rep[linked], "sketch": pa.nulls(len(linked), pa.binary())})
-                if again:
-                    yield pa.RecordBatch.from_pydict({"path": pa.array([group["path"][0].as_py()] * len(leaders)), "a": rep[leaders], "b": rep[leaders], "sketch": pa.array([marks[i].tobytes() for i in leaders], pa.binary())})
-
-        dealt = rows.select("path", "part", "n", "rep", "sketch").repartition(partitions(spark), "path", "part").sortWithinPartitions("path", "part")
-        found = written(dealt.mapInArrow(work, "path long, a long, b long, sketch binary"), "links")
-        links.append(found.where("path is null").select("a", "b"))
-        again = found.where("path is not null").select("path", F.col("a").alias("rep"), "sketch")
-        if again.isEmpty():
-            break
-        sizes = written(again.groupBy("path").agg(F.count("*").alias("n")), "sizes")
-        rows = join_small(again, sizes, ["path"], "inner")
-    return links[0] if len(links) == 1 else links[0].unionByName(links[1])
+    marks, links = sets.select("rep", "sketch"), None
+    large = buckets.where(F.col("n") > SMALL)
+    rows = buckets.where(F.col("n") <= SMALL).join(marks, "rep").select("path", "n", "rep", "sketch")
+    if not large.isEmpty():
+        links, left = _leaders(large.join(marks, "rep"))
+        rows = rows.unionByName(left.select(rows.columns))
+    parts = F.ceil(F.col("n") / F.lit(PART)).cast("int")
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("rep", F.lit(1)), parts).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    rows = rows.withColumn("part", F.least("mine", "other") * parts + F.greatest("mine", "other")).withColumn("parts", parts)
+
+    def work(batches):
+        for group in sorted_groups(batches, ["path", "part"]):
+            if group.num_rows < 2:
+                continue
+            first, second = divmod(group["part"][0].as_py(), group["parts"][0].as_py())
+            if first == second:
+                rep, own = _marks(group)
+                to, _ = link_bucket(own, leader=2.0)
+                b = np.flatnonzero(to != np.arange(len(to)))
+                a, b = rep[to[b]], rep[b]
+            else:
+                mine = group["mine"].to_numpy()
+                (rep, own), (others, theirs) = (_marks(group.filter(pa.array(mine == x))) for x in (first, second))
+                a, b = link_parts(own, theirs)
+                a, b = rep[a], others[b]
+            yield pa.RecordBatch.from_pydict({"a": a, "b": b})
+
+    dealt = rows.select("path", "part", "parts", "mine", "rep", "sketch").repartition(partitions(buckets.sparkSession), "path", "part").sortWithinPartitions("path", "part")
+    found = written(dealt.mapInArrow(work, "a long, b long"), "links")
+    return found if links is None else found.unionByName(links)
 
 
 def jaccard_pairs(tokens: list[np.ndarray], threshold: float = THRESHOLD, block: int = 8192) -> tuple[np.ndarray, np.ndarray]:
@@ -331,5 +378,5 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     name = fresh(docs, "_key")
     wordless = F.when(F.col("class_key").isNull(), F.col("row_digest"))
     kept = kept.groupBy("class_key", wordless).agg(F.min(key(F.col("doc_id"), F.col("row_digest"))).alias(name)).select(name)
-    rows = docs.withColumn(name, key(F.col(id_col), F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))))
+    rows = docs.withColumn(name, key(F.col(id_col).try_cast("long"), F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))))
     return rows.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)

@@ -433,6 +433,24 @@ def test_linking_through_leaders_keeps_groups_whole():
     assert set(to[:60]) == {0} and to[60] == 60 and len(leaders) < 61
 
 
+def test_links_of_two_parts_connect_them():
+    """Links within each part and between them make the components that all pairs of sketches make."""
+    rng = np.random.default_rng(5)
+    bases = [np.sort(rng.integers(0, 2**63, 200, dtype=np.uint64)) for _ in range(12)]
+    sets = []
+    for _ in range(90):
+        own = bases[rng.integers(12)].copy()
+        own[rng.choice(200, 25, replace=False)] = rng.integers(0, 2**63, 25, dtype=np.uint64)
+        sets.append(np.unique(own))
+    marks = np.stack([np.frombuffer(jaccard_join.sketch(s), np.uint8) for s in sets])
+    whole, _ = jaccard_join.link_bucket(marks, leader=2.0)
+    a, b = jaccard_join.link_parts(marks[:50], marks[50:])
+    pairs = [(i, j) for part, off in ((marks[:50], 0), (marks[50:], 50)) for i, j in enumerate(jaccard_join.link_bucket(part, leader=2.0)[0] + off, off)]
+    pairs += [*zip(a, b + 50)]
+    got = jaccard_join._first_of(np.arange(90), *np.asarray(pairs).T)
+    assert got.tolist() == whole.tolist() and len(a) < 30
+
+
 # --------------------------------------------------------------- 7 substring dedup
 
 
@@ -575,6 +593,32 @@ def test_packing_pads_little_and_keeps_repeated_rows(spark):
     assert packing.pack(documents(spark, texts).limit(0), tokenizer_path()).count() == 0
 
 
+def test_many_equal_rows_are_ranked_as_one(spark):
+    """A thousand equal rows, rows without ids and an empty text each get a place of their own."""
+    df = documents(spark, ["same text here"] * 1000 + ["other"] * 3 + [None, "word " * 30_000], ids=[5] * 1000 + [None] * 3 + [6, 7])
+    rows = packing.pack(df, tokenizer_path()).collect()
+    gapless(rows)
+    assert Counter(r["doc_id"] for r in rows if r["start"] == 0) == {5: 1000, None: 3, 6: 1, 7: 1}
+    assert len({(r["sequence_id"], r["offset"]) for r in rows}) == len(rows)
+
+
+def test_ids_that_are_no_numbers_count_as_null(spark):
+    rows = [("7", "a b c"), ("x7", "a b c"), ("", "d e f"), (None, "g h i")]
+    df = spark.createDataFrame([(*r, "en", "s") for r in rows], "doc_id string, text string, lang string, source string")
+    labels = spark.createDataFrame([("7", 1), ("zz", 0)], "doc_id string, quality int")
+    want = Counter([7, None, None, None])
+    assert Counter(r["doc_id"] for r in exact_dedup.exact_dedup(df).collect()) == want
+    assert sorted(r["text"] for r in exact_dedup.keep_first_copies(df).collect()) == ["a b c", "d e f", "g h i"]
+    assert Counter(r["doc_id"] for r in license_scan.license_scan(df).collect()) == want
+    assert Counter(r["doc_id"] for r in language_id.language_id(df).collect()) == want
+    assert Counter(r["doc_id"] for r in jaccard_join.jaccard_classes(df).collect()) == want
+    assert jaccard_join.one_of_each_class(df).count() == 3
+    assert Counter(r["doc_id"] for r in substring_dedup.substring_digests(df).collect()) == want
+    assert Counter(r["doc_id"] for r in packing.pack(df, tokenizer_path()).collect()) == want
+    assert Counter(r["doc_id"] for r in mixing.mix(df).collect()) == want
+    assert quality.good_documents(df, labels).count() == 4 and Counter(r["doc_id"] for r in quality.quality_scores(df, labels).collect()) == want
+
+
 def test_shortest_pack_first_places_everything():
     rng = random.Random(7)
     for _ in range(50):
