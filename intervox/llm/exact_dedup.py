@@ -97,7 +97,7 @@ class Snapshot:
 
 def _digested(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"))
+    return docs.select(F.col(id_col).try_cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"))
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
@@ -186,5 +186,5 @@ def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     key = lambda ident, digest: F.concat_ws(":", digest, F.coalesce(ident.cast("string"), F.lit("null")))
     name = fresh(docs, "_key")
     kept = exact_dedup(docs, None, id_col, text_col).where("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias(name))
-    rows = docs.withColumn(name, key(F.col(id_col), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
+    rows = docs.withColumn(name, key(F.col(id_col).try_cast("long"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
     return rows.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)

@@ -206,5 +206,5 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 scores.append(float(p[best]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
     return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")

@@ -85,7 +85,7 @@ def template_grams(spark: SparkSession, templates=TEMPLATES, k: int = K) -> Data
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_key"), F.col(text_col).alias("text"))
+    return docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_key"), F.col(text_col).alias("text"))
 
 
 def license_spans(docs: DataFrame, templates=TEMPLATES, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -130,7 +130,7 @@ def cube_sample(units: DataFrame, group: int = GROUP) -> DataFrame:
 def decided_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
     """doc_id, row_key, source, size, n (rows), source_size, target, whole, extra: all n rows are taken `whole` times, `extra` of them once more."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row_key"), F.col(source_col).cast("string").alias("source"), word_count(text).alias("size"))
+    rows = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.xxhash64(text).alias("row_key"), F.col(source_col).cast("string").alias("source"), word_count(text).alias("size"))
     units = written(rows.groupBy("doc_id", "row_key", "source", "size").agg(F.count("*").alias("n")), "units")
     goals = written(source_targets(units.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights), "goals")
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
@@ -162,7 +162,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     name, n, whole, extra, times = (fresh(docs, x) for x in ("_key", "_n", "_whole", "_extra", "_times"))
     units = units.where("whole * n + extra > 0").select(key(F.col("doc_id"), F.col("row_key"), F.col("source")).alias(name), F.col("n").alias(n), F.col("whole").alias(whole), F.col("extra").alias(extra))
     units = written(units, "taken")
-    keyed = docs.withColumn(name, key(F.col(id_col).cast("long"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.col(source_col)))
+    keyed = docs.withColumn(name, key(F.col(id_col).try_cast("long"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.col(source_col)))
     rows = keyed.join(units, name)
     out = rows.where(F.col(n) == 1).withColumn(times, (F.col(whole) + F.col(extra)).cast("int"))
     if not units.where(F.col(n) > 1).isEmpty():

@@ -5,9 +5,11 @@ at most `capacity` bins; shortest-pack-first places the lengths, longest first,
 and the patterns are joined back to the rests by their rank within a length. Ranks come from counts of bounded
 chunks, so that no length is ranked in one task.
 
-Defined cases: null text counts as empty, an empty document is its end id alone; repeated rows are packed as often as
-they occur; special-token strings in a text are ordinary text; an empty table gives an empty result; other columns
-are ignored.
+Defined cases: null text counts as empty, an empty document is its end id alone; texts of any length are cut into pieces
+of capacity and a rest; repeated rows are packed as often as they occur; pieces of equal length are in the order of
+doc_id, start and text within a chunk, and rows equal in all of these are interchangeable; rows without a doc_id are
+packed too; special-token strings in a text are ordinary text; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -23,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import partitions, written
 
 CAPACITY, END_ID = 2048, 1
-#: Word pieces whose ids a worker remembers, and rows of one ranking chunk.
-REMEMBERED, CHUNK = 500_000, 20_000
+#: Word pieces whose ids a worker remembers, the longest of them in characters, and rows of one ranking chunk.
+REMEMBERED, LONGEST, CHUNK = 500_000, 64, 20_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row_key long"
 
@@ -73,10 +75,12 @@ class Encoder:
         self.letters = dict(zip(shown, shown)) | {b: 0x100 + i for i, b in enumerate(hidden)}
 
     def _learn(self, piece: str) -> bytes:
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
         letters = piece.encode().decode("latin-1").translate(self.letters)
-        self.known[piece] = ids = np.asarray([x.id for x in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
+        ids = np.asarray([x.id for x in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
+        if len(piece) <= LONGEST:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[piece] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
@@ -112,7 +116,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
                         column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "row_key"])
 
-    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col), F.xxhash64(F.col(text_col)))
+    rows = docs.select(F.col(id_col).try_cast("long"), F.col(text_col), F.xxhash64(F.col(text_col)))
     return rows.mapInArrow(cut, PIECES)
 
 
@@ -164,14 +168,18 @@ def slots(patterns: list[tuple[int, list[int]]], first_sequence: int = 0) -> lis
 def ranked(pieces: DataFrame) -> DataFrame:
     """pieces with rank, from 0, within their length; chunks of bounded size are ranked, then offset by counts."""
     spark = pieces.sparkSession
-    n = max(1, -(-pieces.count() // CHUNK))
+    # Repeated rows are one row with a number until they have ranks, so that none of them makes a chunk larger.
+    pieces = pieces.groupBy(*pieces.columns).agg(F.count("*").alias("times"))
+    n = max(partitions(spark), -(-pieces.count() // CHUNK))
     order = Window.partitionBy("chunk", "length").orderBy("doc_id", "start", "row_key")
     chunk = F.pmod(F.xxhash64("doc_id", "start", "row_key"), F.lit(n)).cast("int")
-    inside = pieces.withColumn("chunk", chunk).withColumn("inside", F.row_number().over(order) - 1)
-    counts = pieces.groupBy(chunk.alias("chunk"), "length").agg(F.count("*").alias("n"))
+    inside = pieces.withColumn("chunk", chunk).withColumn("inside", F.sum("times").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("times"))
+    counts = pieces.groupBy(chunk.alias("chunk"), "length").agg(F.sum("times").alias("n"))
     before = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    return inside.join(starts, ["chunk", "length"]).withColumn("rank", F.col("inside") + F.col("before")).drop("chunk", "inside", "before")
+    ranked = inside.join(starts, ["chunk", "length"]).withColumn("rank", F.col("inside") + F.col("before"))
+    ranked = ranked.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1))).withColumn("rank", F.col("rank") + F.col("copy"))
+    return ranked.drop("chunk", "inside", "before", "times", "copy")
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

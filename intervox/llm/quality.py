@@ -121,10 +121,10 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 1e-
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled: int = LABELLED) -> DataFrame:
     """(good, text) of the rows of docs that the sampled labels name, written; labels without a document take no part."""
-    good = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("good")).where("good in (0, 1) and doc_id is not null").distinct()
-    named = good.join(docs.select(F.col(id_col).cast("long").alias("doc_id")), "doc_id", "left_semi")
+    good = labels.select(F.col("doc_id").try_cast("long").alias("doc_id"), F.col("quality").try_cast("int").alias("good")).where("good in (0, 1) and doc_id is not null").distinct()
+    named = good.join(docs.select(F.col(id_col).try_cast("long").alias("doc_id")), "doc_id", "left_semi")
     sample = written(named.orderBy(F.xxhash64("doc_id", "good"), "doc_id", "good").limit(labelled), "sample")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
+    texts = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
     return written(texts.select("good", "text"), "labelled")
 
 
@@ -204,7 +204,7 @@ def described(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_co
             x = text_features(batch.column(4), lexicon)
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], *[pa.array(x[:, i]) for i in range(len(FEATURES))]], names=[*names, *FEATURES])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_key"), *site, F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_key"), *site, F.col(text_col).alias("text"))
     return written(rows.mapInArrow(describe, f"doc_id long, row_key long, host string, path string, {', '.join(f'{x} float' for x in FEATURES)}"), "described")
 
 
@@ -243,4 +243,4 @@ def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     good = scored(docs, labels, id_col=id_col, text_col=text_col, host_col=host_col, path_col=path_col).where(F.col("score") >= threshold)
     name = fresh(docs, "_key")
     good = good.select(key(F.col("doc_id"), F.col("row_key"), F.col("host"), F.col("path")).alias(name))
-    return docs.withColumn(name, key(F.col(id_col), F.xxhash64(text_col), *site)).join(good, name, "left_semi").drop(name)
+    return docs.withColumn(name, key(F.col(id_col).try_cast("long"), F.xxhash64(text_col), *site)).join(good, name, "left_semi").drop(name)

@@ -254,7 +254,7 @@ def _flagged(ids: np.ndarray, tags: np.ndarray, pos: np.ndarray, buckets: int, g
 def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> tuple[DataFrame, int]:
     """(bucket, runs, size, payload): packed places of all repeated windows by bucket; and the number of buckets."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _tag(text_col).alias("tag"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), _tag(text_col).alias("tag"), F.col(text_col).alias("text"))
     total = max(1, rows.agg(F.sum(word_count(F.col("text")))).first()[0] or 0)
     groups, buckets = max(partitions(spark), -(-total // group)), -(-total // BUCKET)
     frequent = frequent_anchors(rows, total, group, window)
@@ -325,7 +325,7 @@ def _by_document(docs: DataFrame, work, schema: str, window: int, id_col: str, t
             size, packed = pack_texts(batch.column(2))
             yield pa.RecordBatch.from_arrays([pa.array(bucket), *batch.columns[:2], pa.array(size, pa.int64()), pa.array(packed, pa.binary())], names=["bucket", "doc_id", "tag", "size", "packed"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _tag(text_col).alias("tag"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), _tag(text_col).alias("tag"), F.col(text_col).alias("text"))
     rows = rows.mapInArrow(number, "bucket long, doc_id long, tag int, size long, packed binary")
 
     def finish(own: pa.Table, flags: pa.Table) -> pa.Table:

@@ -39,7 +39,7 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     x = F.col(vector_col).cast("array<double>")
     odd = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
     rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0) & ~odd)
-    return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v * scale)).alias("q"))
+    return rows.select(F.col(id_col).try_cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v * scale)).alias("q"))
 
 
 def build_index(vectors: DataFrame, shards: int) -> DataFrame:
