@@ -295,7 +295,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
             run = run[late]
             yield _rows(_flagged(ids[run], tags[run], pos[run] + inside[late], buckets, groups))
 
-    shipped = rows.mapInArrow(ship, _FIELDS).repartition(min(groups, MOST_PARTITIONS), "grp").sortWithinPartitions("grp")
+    # One group a task, and no task with several by chance, up to MOST_PARTITIONS groups.
+    tasks = min(groups, MOST_PARTITIONS)
+    shipped = rows.mapInArrow(ship, _FIELDS).repartitionById(tasks, (F.col("grp") % tasks).cast("int")).sortWithinPartitions("grp")
     return shipped.mapInArrow(meet, _FIELDS).drop("grp"), buckets
 
 

@@ -95,6 +95,15 @@ def test_line_dedup(spark):
     assert line_dedup.line_dedup(df.limit(0)).count() == 0
 
 
+def test_line_dedup_of_long_pages_and_ties(spark):
+    """A page of 100,000 lines; a line in exactly the ratio of a host's pages stays, one in more goes."""
+    rows = [(i if i else None, f"https://t.example/{i}", "<p>own%d</p>" % i + "<p>three</p>" * (i < 3) + "<p>four</p>" * (i < 4)) for i in range(10)]
+    rows.append((99, "https://long.example/", "".join(f"<li>line {i}</li>" for i in range(100_000))))
+    got = {r["page_id"]: r for r in line_dedup.line_dedup(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[None]["text"] == "own0\nthree" and got[3]["text"] == "own3" and got[3]["n_removed"] == 1
+    assert got[99]["n_lines"] == 100_000 and got[99]["n_removed"] == 0
+
+
 def test_line_dedup_joins_without_broadcast(spark, sf_dir, monkeypatch):
     pages = common.table(spark, sf_dir, "pages")
     want = sorted(map(tuple, line_dedup.line_dedup(pages).collect()))
