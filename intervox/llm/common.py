@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 
 _own_dir: list[str] = []
+_scopes: list[list[DataFrame]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,9 +39,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path
+    for scope in _scopes:
+        scope.append(out)
     return out
 
 
+@contextlib.contextmanager
+def only_kept(keep: list[DataFrame]):
+    """Of the tables that are written within, those put into keep stay; the others are discarded at the end."""
+    made: list[DataFrame] = []
+    _scopes.append(made)
+    try:
+        yield keep
+    finally:
+        _scopes[:] = [x for x in _scopes if x is not made]
+    discard(*[x for x in made if not any(x is y for y in keep)])
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that written() gave and that nothing still to be computed reads; other frames stay."""
     for x in tables:

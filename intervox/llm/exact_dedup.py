@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, mix64, written
+from .common import fresh, mix64, only_kept, written
 
 #: Distinct digests of a snapshot or batch that share one filter.
 KEYS_PER_FILTER = 200_000
@@ -165,8 +165,9 @@ def exact_dedup(docs: DataFrame, arrived: F.Column | None = None, id_col: str =
     """
     arrived = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 2 == 1 if arrived is None else F.coalesce(arrived, F.lit(False))
     # Filters are as many as either side asks for, so that a large batch doesn't meet a small snapshot in one task.
-    snapshot = build_snapshot(docs.where(~arrived), id_col, text_col, expected_batch=docs.where(arrived).count())
-    groups = written(dedup_batch(docs.where(arrived), snapshot, id_col, text_col), "groups")
+    with only_kept([]) as keep:
+        snapshot = build_snapshot(docs.where(~arrived), id_col, text_col, expected_batch=docs.where(arrived).count())
+        keep.append(groups := written(dedup_batch(docs.where(arrived), snapshot, id_col, text_col), "groups"))
     rows = _digested(docs, id_col, text_col).groupBy("doc_id", "digest").agg(F.count("*").alias("copies"))
     return (
         rows.alias("r").join(groups.alias("g").hint("merge"), F.col("r.digest") == F.col("g.digest"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, discard, fresh, gram_hashes, join_small, mix64, partitions, slices, sorted_groups, text_buffers, word_bounds, word_hashes, written
+from .common import components, discard, fresh, gram_hashes, join_small, mix64, only_kept, partitions, slices, sorted_groups, text_buffers, word_bounds, word_hashes, written
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
 #: Levels of a tree, and how many times 1 / (threshold * size) are sampled below the first.
@@ -351,23 +351,26 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     doc_ids are null or repeat and several classes have one class_id; it is null for a text without words, a class by itself.
     """
     rows = _digested(docs, id_col, text_col)
-    sets = _sets(rows, runs_for(recall))
-    groups = components(_candidate_links(_buckets(sets, rows), sets))
-    verified = _verified(groups, sets, rows)
-    classes = verified.groupBy("rep").agg(F.min("label").alias("label"), F.sum("links").alias("links"), F.max("tiled").alias("tiled"))
-    if not verified.where("tiled").isEmpty():
-        joined = components(verified.where("tiled").select(F.col("rep").alias("a"), F.col("label").alias("b")))
-        joined = joined.select(F.col("node").alias("rep"), F.col("label").alias("whole"))
-        classes = join_small(classes, joined, ["rep"], "left").withColumn("label", F.coalesce("whole", "label"))
-    classes = written(classes.select("rep", "label", "links"), "classes")
-    members = join_small(sets.select("digest", "doc_id", "rep"), classes, ["rep"], "left")
-    # Only classes of several texts need the smallest of their doc_ids; a text alone has its own.
-    least = written(members.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")), "least")
-    members = join_small(members, least, ["label"], "left")
-    class_id = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least"))
-    members = written(members.select("digest", class_id.alias("class_id"), F.coalesce("label", "rep").alias("class_key"), "links"), "members")
-    copies = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
-    texts = written(join_small(copies, members, ["digest"], "left").select("digest", F.coalesce("class_id", "first_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"), "n_copies", "class_key"), "texts")
+    with only_kept([]) as kept:
+        sets = _sets(rows, runs_for(recall))
+        with only_kept([]) as keep:
+            keep.append(groups := components(_candidate_links(_buckets(sets, rows), sets)))
+        with only_kept([]) as keep:
+            keep.append(verified := _verified(groups, sets, rows))
+        classes = verified.groupBy("rep").agg(F.min("label").alias("label"), F.sum("links").alias("links"), F.max("tiled").alias("tiled"))
+        if not verified.where("tiled").isEmpty():
+            joined = components(verified.where("tiled").select(F.col("rep").alias("a"), F.col("label").alias("b")))
+            joined = joined.select(F.col("node").alias("rep"), F.col("label").alias("whole"))
+            classes = join_small(classes, joined, ["rep"], "left").withColumn("label", F.coalesce("whole", "label"))
+        classes = written(classes.select("rep", "label", "links"), "classes")
+        members = join_small(sets.select("digest", "doc_id", "rep"), classes, ["rep"], "left")
+        # Only classes of several texts need the smallest of their doc_ids; a text alone has its own.
+        least = written(members.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")), "least")
+        members = join_small(members, least, ["label"], "left")
+        class_id = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+        members = written(members.select("digest", class_id.alias("class_id"), F.coalesce("label", "rep").alias("class_key"), "links"), "members")
+        copies = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
+        kept.append(texts := written(join_small(copies, members, ["digest"], "left").select("digest", F.coalesce("class_id", "first_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"), "n_copies", "class_key"), "texts"))
     return join_small(rows.select("doc_id", "digest"), texts, ["digest"], "inner").select("doc_id", "class_id", "n_links", "n_copies", F.col("digest").alias("row_digest"), "class_key")
 
 

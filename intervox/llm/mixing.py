@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, fresh, join_small, written
+from .common import discard, fresh, join_small, only_kept, written
 
 #: Units of one flight group, and the most copies of a document.
 GROUP, MOST_COPIES = 4096, 3
@@ -157,11 +157,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of docs, each as often as the mix takes it."""
-    units = decided_units(docs, id_col, text_col, source_col)
     key = lambda ident, row, src: F.concat_ws(":", F.coalesce(ident.cast("string"), F.lit("null")), row.cast("string"), F.coalesce(src, F.lit("\0")))
     name, n, whole, extra, times = (fresh(docs, x) for x in ("_key", "_n", "_whole", "_extra", "_times"))
-    units = units.where("whole * n + extra > 0").select(key(F.col("doc_id"), F.col("row_key"), F.col("source")).alias(name), F.col("n").alias(n), F.col("whole").alias(whole), F.col("extra").alias(extra))
-    units = written(units, "taken")
+    with only_kept([]) as keep:
+        units = decided_units(docs, id_col, text_col, source_col).where("whole * n + extra > 0")
+        keep.append(units := written(units.select(key(F.col("doc_id"), F.col("row_key"), F.col("source")).alias(name), F.col("n").alias(n), F.col("whole").alias(whole), F.col("extra").alias(extra)), "taken"))
     keyed = docs.withColumn(name, key(F.col(id_col).try_cast("long"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.col(source_col)))
     rows = keyed.join(units, name)
     out = rows.where(F.col(n) == 1).withColumn(times, (F.col(whole) + F.col(extra)).cast("int"))

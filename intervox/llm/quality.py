@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, join_small, slices, text_buffers, word_bounds, word_hashes, written
+from .common import fresh, join_small, only_kept, slices, text_buffers, word_bounds, word_hashes, written
 
 #: Labels that the document model is fitted on, at most; numbers that words are hashed into.
 LABELLED, LEXICON = 20_000, 1 << 16
@@ -210,7 +210,8 @@ def described(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_co
 
 def scored(docs: DataFrame, labels: DataFrame, **cols) -> DataFrame:
     """doc_id, row_key, host, path, doc_score, host_score, path_score, score: one row for each row of docs."""
-    lexicon, evidence = document_model(docs, labels, **{k: v for k, v in cols.items() if k in ("id_col", "text_col")})
+    with only_kept([]):
+        lexicon, evidence = document_model(docs, labels, **{k: v for k, v in cols.items() if k in ("id_col", "text_col")})
     rows = described(docs, lexicon, **cols)
     rows = rows.withColumn("odds", F.when(F.col("words") > 0, evidence).otherwise(F.lit(-MOST_EVIDENCE)))
     p = 1 / (1 + F.exp(-F.col("odds")))

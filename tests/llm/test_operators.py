@@ -68,6 +68,22 @@ def test_word_bounds_and_hashes():
     assert len(common.word_bounds(raw, offsets)[0]) == 5
 
 
+def test_tables_between_are_discarded(spark, tmp_path, monkeypatch):
+    """Of what an operator writes, only what its result still reads is left in the shared folder."""
+    monkeypatch.setattr(common, "shared_dir", lambda spark: f"file://{tmp_path}")
+    df = documents(spark, ["a b c d e f", "a b c d e f g", "x y", "x y", None] * 3, ids=list(range(15)))
+    left = {}
+    for name, run in (("op6", jaccard_join.jaccard_classes), ("op2", exact_dedup.exact_dedup), ("op10", mixing.mixed_documents)):
+        out, before = run(df), len(list(tmp_path.iterdir()))
+        assert out.count() >= 15 or name == "op10"
+        left[name] = before
+    assert left == {"op6": 1, "op2": 2, "op10": 3}
+    with common.only_kept([]) as keep:
+        keep.append(common.written(df.select("doc_id"), "one"))
+        other = common.written(df.select("doc_id"), "two")
+    assert keep[0].count() == 15 and not hasattr(other, "written_to") and len(list(tmp_path.iterdir())) == 4
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)]
