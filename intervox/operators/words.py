@@ -11,6 +11,22 @@ from ..functions.text import leading_blanks, strip, trailing_blanks, truthy
 UNSPACED = ("ja", "zh")
 SPACE, WILD = "|", "*"
 SENTENCE = r"[^.!?]*[.!?]+[\"')\]]*|[^.!?]+"
+#: Common abbreviations by language, whose full stop ends no sentence.
+ABBREVIATIONS = {
+    "en": "Mr Mrs Ms Dr Prof St Jr Sr vs etc e.g i.e No Inc Ltd Co Corp Gen Col Capt Lt Sgt Rev Hon Fig approx",
+    "de": "Dr Prof Hr Fr Nr z.B d.h u.a usw bzw ca evtl ggf vgl Str Abs Art inkl Jh Mio Mrd St",
+    "fr": "M MM Mme Mlle Dr Pr St Ste etc p.ex cf av apr env no fig",
+    "es": "Sr Sra Srta Dr Dra Prof Ud Uds etc p.ej núm pág aprox EE.UU",
+    "it": "Sig Dott Prof Ing Avv ecc es pag art n",
+    "nl": "dhr mevr dr prof bijv enz o.a d.w.z nr blz ca",
+    "pt": "Sr Sra Dr Dra Prof etc p.ex pág n aprox",
+}
+
+
+def abbreviation_at_end(language: str) -> str:
+    """The pattern of a text that ends with an abbreviation of the language (English ones if it has no list) or an initial."""
+    known = "|".join(x.replace(".", r"\.") for x in ABBREVIATIONS.get(language, ABBREVIATIONS["en"]).split())
+    return rf"(?<![\p{{L}}.])(?:{known}|\p{{Lu}})\.$"
 
 
 def numbered_characters(text: Column, spaced: bool = True) -> Column:
@@ -115,15 +131,23 @@ def confidence(words: Column) -> Column:
     return F.when(F.size(scores) > 0, F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) / F.size(scores))
 
 
-def sentence_spans(segments: DataFrame, keys: list[str]) -> DataFrame:
+def sentence_spans(segments: DataFrame, keys: list[str], language: str | None = None) -> DataFrame:
     """keys, sentence, s, e, n_chars, sentence_text of segments (keys, text): each sentence's characters s to e, e not included.
 
-    A sentence ends with a run of . ! ? and what closes it, or with the text; its outer blanks aren't part of it.
+    A sentence ends with a run of . ! ? and what closes it, or with the text; its outer blanks aren't part of it. With a
+    language, its abbreviations, initials and stops before anything but a blank end none.
     """
     pieces = F.filter(F.regexp_extract_all("text", F.lit(SENTENCE), F.lit(0)), lambda x: F.length(x) > 0)
     rows = segments.select(*keys, F.length("text").alias("n_chars"), pieces.alias("_p"))
     rows = rows.select(*keys, "n_chars", F.posexplode("_p").alias("_i", "_p"))
     order = Window.partitionBy(*keys).orderBy("_i")
+    if language is not None:
+        before = [F.coalesce(F.lag("_p", k).over(order), F.lit("")) for k in (2, 1)]
+        goes_on = F.concat(*before, F.col("_p")).rlike(abbreviation_at_end(language)) | F.lead("_p").over(order).rlike(r"^\S")
+        ended = rows.withColumn("_ends", F.when(goes_on, 0).otherwise(1))
+        whole = ended.withColumn("_whole", F.coalesce(F.sum("_ends").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_i", "_p"))), lambda x: x["_p"]), "")
+        rows = whole.groupBy(*keys, "n_chars", "_whole").agg(F.min("_i").alias("_i"), joined.alias("_p"))
     pos = F.coalesce(F.sum(F.length("_p")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     lead = F.length("_p") - F.length(F.regexp_replace("_p", r"^\s+", ""))
     last = F.length(F.regexp_replace("_p", r"\s+$", ""))
@@ -139,20 +163,20 @@ def sentence_characters(spans: DataFrame, keys: list[str]) -> DataFrame:
     return spans.select(*keys, "sentence", F.explode(F.sequence(F.col("s"), F.least(F.col("e"), F.col("n_chars") - 1))).alias("cdx"))
 
 
-def sentence_rollup(chars: DataFrame, segments: DataFrame, keys: list[str]) -> DataFrame:
+def sentence_rollup(chars: DataFrame, segments: DataFrame, keys: list[str], language: str | None = None) -> DataFrame:
     """keys, sentence, text, start, end of chars (keys, cdx, char, start, end).
 
     The end skips spaces. A sentence without times has null.
     """
-    spans = sentence_spans(segments, keys)
+    spans = sentence_spans(segments, keys, language)
     rows = sentence_characters(spans, keys).join(chars.select(*keys, "cdx", "char", "start", "end"), [*keys, "cdx"])
     times = rows.groupBy(*keys, "sentence").agg(F.min("start").alias("start"), F.max(F.when(F.col("char") != " ", F.col("end"))).alias("end"))
     return times.join(spans.select(*keys, "sentence", F.col("sentence_text").alias("text")), [*keys, "sentence"]).select(*keys, "sentence", "text", "start", "end")
 
 
-def sentence_words(chars: DataFrame, segments: DataFrame, keys: list[str]) -> DataFrame:
+def sentence_words(chars: DataFrame, segments: DataFrame, keys: list[str], language: str | None = None) -> DataFrame:
     """keys, sentence, word_idx, word, start, end, score: words rolled up within each sentence's characters."""
-    rows = sentence_characters(sentence_spans(segments, keys), keys).join(chars, [*keys, "cdx"])
+    rows = sentence_characters(sentence_spans(segments, keys, language), keys).join(chars, [*keys, "cdx"])
     return word_rollup(rows, [*keys, "sentence"])
 
 

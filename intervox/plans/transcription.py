@@ -140,10 +140,10 @@ def align_sentences(segments: DataFrame, emissions: DataFrame, vocabulary: dict[
     known = F.create_map(*[F.lit(x) for pair in vocabulary.items() for x in pair])
     timed = timed_characters(segments, emissions, known, ctc.blank_id(vocabulary, last=beam is not None), spaced, beam)
     said, own = segments.select(*keys, "text"), [*keys, "sentence"]
-    rows = words.sentence_rollup(timed, said, keys)
-    rows = rows.join(words.word_arrays(words.sentence_words(timed, said, keys), own), own, "left")
+    rows = words.sentence_rollup(timed, said, keys, language)
+    rows = rows.join(words.word_arrays(words.sentence_words(timed, said, keys, language), own), own, "left")
     if chars:
-        inside = words.sentence_characters(words.sentence_spans(said, keys), keys).join(timed, [*keys, "cdx"])
+        inside = words.sentence_characters(words.sentence_spans(said, keys, language), keys).join(timed, [*keys, "cdx"])
         of = F.sort_array(F.collect_list(F.struct("cdx", "char", "start", "end", "score")))
         rows = rows.join(inside.groupBy(*own).agg(F.transform(of, lambda x: x.dropFields("cdx")).alias("chars")), own, "left")
     for c in ("start", "end"):

@@ -85,6 +85,30 @@ def test_sentence_characters_share_the_border(spark):
     assert [(r["text"], r["start"], r["end"]) for r in got] == [("Ab.", 0.0, 3.0), ("Cd", 4.0, 6.0)]
 
 
+@pytest.mark.parametrize(
+    "language, text, sentences",
+    [
+        ("en", "Mr. Smith paid 3.14 to J. Doe. He left!", ["Mr. Smith paid 3.14 to J. Doe.", "He left!"]),
+        ("en", "no stop at all", ["no stop at all"]),
+        ("en", "Ask Dr. Who", ["Ask Dr. Who"]),
+        ("en", "See Dr.", ["See Dr."]),
+        ("de", "Das gilt z.B. hier, bzw. dort. Ja?! Gut.", ["Das gilt z.B. hier, bzw. dort.", "Ja?!", "Gut."]),
+        ("fr", "M. Dupont dort. (Oui.) Mme. Roy non", ["M. Dupont dort.", "(Oui.)", "Mme. Roy non"]),
+        ("xx", "Mrs. A... and B. Then", ["Mrs. A...", "and B. Then"]),
+        (None, "Mr. Smith.", ["Mr.", "Smith."]),
+        ("en", "", []),
+    ],
+)
+def test_sentences_by_language(spark, language, text, sentences):
+    rows = w.sentence_spans(frame(spark, [text]), KEYS, language).orderBy("sentence").collect()
+    assert [r["sentence_text"] for r in rows] == sentences and all(text[r["s"] : r["e"]] == r["sentence_text"] for r in rows)
+
+
+def test_sentences_of_a_long_text_without_stops(spark):
+    rows = w.sentence_spans(frame(spark, ["word Mr. " * 20_000 + "x " * 100_000]), KEYS, "en").collect()
+    assert len(rows) == 1 and rows[0]["e"] == 379_999
+
+
 def test_merge_same_times(spark):
     df = spark.createDataFrame([(0, 0, "a", 1.0, 2.0), (0, 1, "b", 1.0, 2.0), (0, 2, "c", None, 2.0)], "id int, sentence int, text string, start double, end double")
     assert [r["text"] for r in w.merge_same_times(df, KEYS).collect()] == ["a b"]
