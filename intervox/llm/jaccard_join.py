@@ -236,6 +236,14 @@ def _marks(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return rep[order], marks[order]
 
 
+def _dealt(rows: DataFrame, group: str, part: str) -> DataFrame:
+    """rows with equal group and part in one task: the pairs (low, high) of a group's parts go to tasks one after the other."""
+    n = partitions(rows.sparkSession)
+    place = F.col("high").cast("long") * (F.col("high") + 1) / 2 + F.col("low")
+    task = F.pmod(F.pmod(F.xxhash64(group), F.lit(n)) + place.cast("long"), F.lit(n)).cast("int")
+    return rows.repartitionById(n, task).sortWithinPartitions(group, part)
+
+
 def _leaders(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(a, b) links to the leaders of the parts of buckets (path, n, rep, sketch), and the leaders as such rows, with n theirs."""
     parts = F.ceil(F.col("n") / F.lit(PART)).cast("int")
@@ -267,13 +275,14 @@ def _candidate_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     parts = F.ceil(F.col("n") / F.lit(PART)).cast("int")
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("rep", F.lit(1)), parts).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    rows = rows.withColumn("part", F.least("mine", "other") * parts + F.greatest("mine", "other")).withColumn("parts", parts)
+    rows = rows.withColumn("low", F.least("mine", "other")).withColumn("high", F.greatest("mine", "other"))
+    rows = rows.withColumn("part", F.col("low") * parts + F.col("high")).select("path", "part", "low", "high", "mine", "rep", "sketch")
 
     def work(batches):
         for group in sorted_groups(batches, ["path", "part"]):
             if group.num_rows < 2:
                 continue
-            first, second = divmod(group["part"][0].as_py(), group["parts"][0].as_py())
+            first, second = group["low"][0].as_py(), group["high"][0].as_py()
             if first == second:
                 rep, own = _marks(group)
                 to, _ = link_bucket(own, leader=2.0)
@@ -286,8 +295,7 @@ def _candidate_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
                 a, b = rep[a], others[b]
             yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
-    dealt = rows.select("path", "part", "parts", "mine", "rep", "sketch").repartition(partitions(buckets.sparkSession), "path", "part").sortWithinPartitions("path", "part")
-    found = written(dealt.mapInArrow(work, "a long, b long"), "links")
+    found = written(_dealt(rows, "path", "part").mapInArrow(work, "a long, b long"), "links")
     return found if links is None else found.unionByName(links)
 
 
@@ -313,13 +321,13 @@ def jaccard_pairs(tokens: list[np.ndarray], threshold: float = THRESHOLD, block:
 
 def _verified(groups: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     """(rep, label, links, tiled): exact links of each set within its candidate group."""
-    spark = groups.sparkSession
     sizes = written(groups.groupBy("label").agg(F.count("*").alias("n")), "sizes")
     members = join_small(groups, sizes, ["label"], "inner").withColumn("tiles", F.ceil(F.col("n") / F.lit(TILE)).cast("int"))
     members = members.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")).select(F.col("node").alias("rep"), "label", "tiles", "mine")
     members = written(members.join(sets.select("rep", "digest", "doc_id"), "rep"), "members")
     rows = _texts(texts, members).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.withColumn("tile", F.least("mine", "other") * F.col("tiles") + F.greatest("mine", "other"))
+    rows = rows.withColumn("low", F.least("mine", "other")).withColumn("high", F.greatest("mine", "other"))
+    rows = rows.withColumn("tile", F.col("low") * F.col("tiles") + F.col("high")).select("label", "tile", "low", "high", "tiles", "mine", "rep", "text")
 
     def verify(batches):
         for group in sorted_groups(batches, ["label", "tile"]):
@@ -327,11 +335,11 @@ def _verified(groups: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame
                 continue
             group = group.sort_by("rep")
             rep = group["rep"].to_numpy()
-            mine, tiles, tile = group["mine"].to_numpy(), group["tiles"][0].as_py(), group["tile"][0].as_py()
+            mine, tiles, across = group["mine"].to_numpy(), group["tiles"][0].as_py(), group["low"][0].as_py() != group["high"][0].as_py()
             a, b = jaccard_pairs(list(text_shingles(group["text"].combine_chunks())))
-            if tile // tiles != tile % tiles:
-                across = mine[a] != mine[b]
-                a, b = a[across], b[across]
+            if across:
+                apart = mine[a] != mine[b]
+                a, b = a[apart], b[apart]
             if not len(a):
                 continue
             to = _first_of(np.arange(len(rep)), a, b)
@@ -339,8 +347,7 @@ def _verified(groups: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame
             some = np.flatnonzero(links)
             yield pa.RecordBatch.from_pydict({"rep": rep[some], "label": rep[to[some]], "links": links[some], "tiled": pa.array([tiles > 1] * len(some))})
 
-    dealt = rows.select("label", "tile", "tiles", "mine", "rep", "text").repartition(partitions(spark), "label", "tile").sortWithinPartitions("label", "tile")
-    return written(dealt.mapInArrow(verify, "rep long, label long, links long, tiled boolean"), "verified")
+    return written(_dealt(rows, "label", "tile").mapInArrow(verify, "rep long, label long, links long, tiled boolean"), "verified")
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
