@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 BITS, ORDERS = 16, 3
 SIZE = 1 << BITS
+#: Features of a text that are sorted rather than counted in a table of SIZE; both give the same.
+SORTED = 2048
 #: Sampled training rows of a language, and the most languages that are learned.
 PER_LANGUAGE, MOST_LANGUAGES = 1500, 256
 #: FTRL: learning rate, its offset, the L1 and L2 penalties, passes.
@@ -53,15 +55,21 @@ def feature_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     keep = letter.copy()
     keep[1:] |= letter[:-1]
     points = np.concatenate([[np.uint64(32)], points[keep], [np.uint64(32)]])
-    counts, h = np.zeros(SIZE, np.int32), np.zeros(len(points), np.uint64)
+    features, h = [], np.zeros(len(points), np.uint64)
     for n in range(ORDERS):
         if len(points) <= n:
             break
         h = (h[: len(points) - n] if n == 0 else h[:-1]) * np.uint64(0x9E3779B97F4A7C15) + points[n:] + np.uint64(n + 1)
         mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        counts += np.bincount((mixed >> np.uint64(64 - BITS)).astype(np.int64), minlength=SIZE).astype(np.int32)
-    ids = np.flatnonzero(counts)
-    return ids.astype(np.int32), counts[ids]
+        features.append((mixed >> np.uint64(64 - BITS)).astype(np.int64))
+    features = np.concatenate(features)
+    if len(features) < SORTED:
+        ids, counts = np.unique(features, return_counts=True)
+    else:
+        counts = np.bincount(features, minlength=SIZE)
+        ids = np.flatnonzero(counts)
+        counts = counts[ids]
+    return ids.astype(np.int32), counts.astype(np.int32)
 
 
 def weigh(ids: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
