@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import functools
 import tempfile
+import threading
 import uuid
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 
 _own_dir: list[str] = []
-_scopes: list[list[DataFrame]] = []
+_scopes = threading.local()  # of this thread alone: other threads' tables are not ours to discard
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,7 +40,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path
-    for scope in _scopes:
+    for scope in getattr(_scopes, "open", ()):
         scope.append(out)
     return out
 
@@ -48,11 +49,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def only_kept(keep: list[DataFrame]):
     """Of the tables that are written within, those put into keep stay; the others are discarded at the end."""
     made: list[DataFrame] = []
-    _scopes.append(made)
+    around = getattr(_scopes, "open", ())
+    _scopes.open = (*around, made)
     try:
         yield keep
     finally:
-        _scopes[:] = [x for x in _scopes if x is not made]
+        _scopes.open = around
     discard(*[x for x in made if not any(x is y for y in keep)])
 
 
