@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 import unicodedata
 import zlib
 from collections import defaultdict
@@ -28,8 +29,9 @@ from pyspark.sql import functions as F
 from .common import partitions, written
 
 CAPACITY, END_ID = 2048, 1
-#: Word pieces whose ids a worker remembers, the longest of them in characters, and rows of one ranking chunk.
-REMEMBERED, LONGEST, CHUNK = 500_000, 64, 20_000
+#: Word pieces whose ids a worker remembers (twice, new ones and those before), the longest of them in characters, and
+#: rows of one ranking chunk.
+REMEMBERED, LONGEST, CHUNK = 400_000, 64, 20_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row_key long"
 
@@ -69,16 +71,24 @@ class Encoder:
         self.odd = _plain().search
         self.pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         # The model works on printable characters that stand for bytes, as byte-level BPE defines them.
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in shown]
         self.letters = dict(zip(shown, shown)) | {b: 0x100 + i for i, b in enumerate(hidden)}
+        self.blank = chr(self.letters[0x20])
 
     def _learn(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(self.letters)
-        ids = np.asarray([x.id for x in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
+        if (ids := self.before.get(piece)) is None:
+            if piece.isascii() and piece.isprintable():
+                letters = piece.replace(" ", self.blank)
+            else:
+                letters = piece.encode().decode("latin-1").translate(self.letters)
+            ids = struct.pack(f"<{len(found)}I", *found) if (found := [x.id for x in self.tokenizer.model.tokenize(letters)]) else b""
         if len(piece) <= LONGEST:
             if len(self.known) >= REMEMBERED:
+                # What was used since the last time stays at hand; the rest goes.
+                self.before = dict(self.known)
                 self.known.clear()
             self.known[piece] = ids
         return ids
@@ -87,8 +97,11 @@ class Encoder:
         """Little-endian 32-bit ids."""
         if self.odd(text):
             return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        known, learn = self.known.get, self._learn
-        return b"".join([known(x) or learn(x) for x in self.pieces(text)])
+        pieces, known = self.pieces(text), self.known.get
+        found = list(map(known, pieces))
+        if None in found:
+            found = [ids or known(x) or self._learn(x) for x, ids in zip(pieces, found)]
+        return b"".join(found)
 
 
 @functools.lru_cache(1)
