@@ -37,12 +37,24 @@ def test_stages(spark, sf_dir):
     for r in good:
         largest[r["text"]] = max(r["doc_id"], largest.get(r["text"], -1))
     assert {r["doc_id"] for r in unique} == set(largest.values()) and len(unique) == len(largest)
-    from test_operators import brute_classes
+    from test_operators import WORD, brute_classes, brute_targets
 
     classes = brute_classes([r["text"] for r in unique], [r["doc_id"] for r in unique])
     assert {r["doc_id"] for r in apart} == {c for c, _ in classes.values()}
     times = Counter(r["doc_id"] for r in mixed)
     assert set(times) <= {r["doc_id"] for r in apart} and max(times.values()) <= 3
+    whole, largest, taken = Counter(), Counter(), Counter()
+    for r in apart:
+        n = len(WORD.findall(r["text"] or ""))
+        whole[r["source"]] += n
+        largest[r["source"]] = max(n, largest[r["source"]])
+        taken[r["source"]] += n * times[r["doc_id"]]
+    goal = brute_targets(dict(whole))
+    assert all(abs(taken[s] - goal[s]) <= largest[s] for s in goal)
+    from intervox.llm import quality
+
+    scores = quality.quality_scores(docs, table(spark, sf_dir, "labels")).collect()
+    assert kept == {r["doc_id"] for r in scores if r["score"] >= quality.THRESHOLD}
     pieces = corpus_pipeline.STAGES[-1][1](spark, seen[-1], sf_dir).collect()
     assert Counter(r["doc_id"] for r in pieces if r["start"] == 0) == times
 
