@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
@@ -23,21 +24,18 @@ def stream_gap_merge(segments: DataFrame, threshold: float, timeout_ms: int | No
             yield pd.DataFrame([(key[0], *state.get)], columns=columns)
             state.remove()
             return
-        now = list(state.get) if state.exists else None
-        done = []
-        rows = pd.concat(list(batches)).sort_values("ord")
-        for ord_, start, end, speaker in rows[columns[1:]].itertuples(index=False):
-            if now is not None and start - now[2] <= threshold:
-                now[2] = end
-            else:
-                if now is not None:
-                    done.append((key[0], *now))
-                now = [int(ord_), float(start), float(end), speaker]
-        state.update(tuple(now))
+        parts = [pd.DataFrame([state.get], columns=columns[1:])] if state.exists else []
+        rows = pd.concat([*parts, *(x[columns[1:]].sort_values("ord") for x in [pd.concat(list(batches))])])
+        start, end = rows["start"].to_numpy(float), rows["end"].to_numpy(float)
+        first = np.flatnonzero(np.r_[True, start[1:] - end[:-1] > threshold])
+        merged = rows.iloc[first].assign(end=end[np.r_[first[1:], len(rows)] - 1])
+        last = merged.iloc[-1]
+        state.update((int(last["ord"]), float(last["start"]), float(last["end"]), last["speaker"]))
+        done = merged.iloc[:-1]
         if timeout_ms is not None:
             state.setTimeoutDuration(timeout_ms)
-        if done:
-            yield pd.DataFrame(done, columns=columns)
+        if len(done):
+            yield done.assign(recording_id=key[0])[columns]
 
     keyed = segments.selectExpr("cast(recording_id as string) recording_id", "cast(ord as long) ord", "start", "end", "speaker")
     return keyed.groupBy("recording_id").applyInPandasWithState(merge, OUT, "ord long, start double, end double, speaker string", "append", "NoTimeout" if timeout_ms is None else "ProcessingTimeTimeout")
