@@ -594,6 +594,19 @@ def test_packing_is_an_exact_round_trip(spark, texts, tokenizer):
     gapless(rows)
 
 
+def test_encoder_equals_the_tokenizer(tokenizer, monkeypatch):
+    """Random texts of letters, digits, signs, quotes and blanks, with a memory that is full again and again."""
+    monkeypatch.setattr(packing, "REMEMBERED", 40)
+    encoder, rng = packing.Encoder(tokenizer_path()), random.Random(31)
+    for k in range(4000):
+        alphabet = ["ab cd  ef", "a's 't l'll \n", "é1 2ü,.", "x\t\r\u00a0 \n\n y", "Wörter und, Zeichen. Noch\nmehr 12"][k % 5]
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40)))
+        if k % 3 == 0:
+            text = " ".join(text.split())
+        got = np.frombuffer(encoder.encode(text), "<u4").tolist()
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def gapless(rows, capacity=2048):
     sequences = defaultdict(list)
     for r in rows:
