@@ -145,6 +145,38 @@ def np_backtrack(cells: np.ndarray, emission: np.ndarray, tokens: np.ndarray, bl
     return path[::-1] if j == 0 else None
 
 
+def np_align(emission: np.ndarray, tokens: np.ndarray, blank: int = 0) -> list[tuple[int, int, int, float]] | None:
+    """The runs of np_backtrack's path over np_trellis, which keep a row of cells and where a token is entered, not the matrices."""
+    frames, n = emission.shape[0], len(tokens)
+    first = np.r_[0.0, np.cumsum(emission[1:, blank])]
+    first[0 if n == 1 else max(0, frames - n + 1) :] = INF
+    wild, at = np.flatnonzero(tokens == -1), np.maximum(tokens, 0)
+    others = np.delete(emission, blank, axis=1).max(axis=1) if len(wild) else None
+    row, moves = np.full(n, -INF), np.zeros((frames, n), bool)
+    row[0] = first[0]
+    for t in range(frames - 1):
+        score = emission[t, at]
+        if len(wild):
+            score[wild] = others[t]
+        stay, change = row[1:] + emission[t, blank], row[:-1] + score[1:]
+        np.greater(change, stay, out=moves[t, 1:])
+        row[1:] = np.maximum(stay, change)
+        row[0] = first[t + 1]
+    j, path, p = n - 1, np.empty(frames, int), emission[:, blank].copy()
+    path[-1] = j
+    for t in range(frames - 2, -1, -1):
+        if j > 0 and moves[t, j]:
+            p[t] = emission[t, tokens[j]] if tokens[j] != -1 else others[t]
+            j -= 1
+        path[t] = j
+    if j:
+        return None
+    start = np.flatnonzero(np.r_[True, path[1:] != path[:-1]])
+    length = np.diff(np.r_[start, frames])
+    mean = np.add.reduceat(np.exp(p), start) / length
+    return list(zip(path[start].tolist(), start.tolist(), (start + length).tolist(), mean.tolist()))
+
+
 def np_beam(cells: np.ndarray, emission: np.ndarray, tokens: np.ndarray, blank: int = 0, width: int = 5) -> list[tuple[int, int, float]] | None:
     """Beam backtrack: states rank by their trellis cell, infinite cells are pruned, the search ends when the best is at token 0."""
     scores, frames, n = frame_scores(emission, tokens, blank), len(emission), len(tokens)
@@ -191,26 +223,34 @@ def _matrices(column: pa.ListArray) -> Iterator[np.ndarray | None]:
 
 
 def align_runs(rows: DataFrame, blank: int = 0, beam: int | None = None) -> DataFrame:
-    """rows (with emission and tokens) and runs: the token runs of each row's best path, null where there is none."""
-    schema = f"{', '.join(f'`{n}` {t}' for n, t in rows.dtypes)}, runs {RUNS}"
-    names = rows.columns
+    """rows (with emission and tokens) with frames and runs in place of these two: the token runs of each row's best path, null where there is none.
+
+    The matrices don't come back: what follows needs their number of frames alone.
+    """
+    names, given = [n for n in rows.columns if n not in ("emission", "tokens")], rows.columns
+    kinds = dict(rows.dtypes)
+    schema = f"{', '.join(f'`{n}` {kinds[n]}' for n in names)}, frames int, runs {RUNS}"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, offsets, none = [], [0], []
-            for em, tokens in zip(_matrices(batch.column(names.index("emission"))), batch.column(names.index("tokens"))):
-                path = None
+            found, offsets, none, frames = [], [0], [], []
+            for em, tokens in zip(_matrices(batch.column(given.index("emission"))), batch.column(given.index("tokens"))):
+                own = None
                 if em is not None and tokens.is_valid and len(tokens):
                     tok = tokens.values.to_numpy(zero_copy_only=False).astype(int)
-                    cells = np_trellis(em, tok, blank)
-                    path = np_backtrack(cells, em, tok, blank) if beam is None else np_beam(cells, em, tok, blank, beam)
-                none.append(path is None)
-                found += runs_of(path) if path is not None else []
+                    if beam is None:
+                        own = np_align(em, tok, blank)
+                    elif path := np_beam(np_trellis(em, tok, blank), em, tok, blank, beam):
+                        own = runs_of(path)
+                frames.append(None if em is None else len(em))
+                none.append(own is None)
+                found += own or []
                 offsets.append(len(found))
             columns = list(zip(*found)) or [[]] * 4
-            kinds = [("token_index", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]
-            runs = pa.StructArray.from_arrays([pa.array(x, t) for x, (_, t) in zip(columns, kinds)], names=[n for n, _ in kinds])
+            parts = [("token_index", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]
+            runs = pa.StructArray.from_arrays([pa.array(x, t) for x, (_, t) in zip(columns, parts)], names=[n for n, _ in parts])
             offsets = pa.array([None if no else at for at, no in zip(offsets, [*none, False])], pa.int32())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, runs)], names=[*names, "runs"])
+            kept = [batch.column(given.index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(frames, pa.int32()), pa.ListArray.from_arrays(offsets, runs)], names=[*names, "frames", "runs"])
 
     return rows.mapInArrow(work, schema)

@@ -112,7 +112,7 @@ def timed_characters(segments: DataFrame, emissions: DataFrame, vocabulary: Colu
     # A path takes every token in turn, so the run of token k is run k, of the inner character k.
     run = lambda i: F.get("runs", F.when(i >= F.col("lead"), i - F.col("lead")))
     one = lambda x, i: F.struct(x["char"].alias("char"), x["word_idx"].alias("word_idx"), run(i).alias("run"))
-    rows = found.select(*keys, "seg_start", "seg_end", F.size("emission").alias("frames"), F.transform(words.numbered_characters(text, spaced), one).alias("_c"))
+    rows = found.select(*keys, "seg_start", "seg_end", "frames", F.transform(words.numbered_characters(text, spaced), one).alias("_c"))
     rows = rows.repartition(*keys).select(*keys, "seg_start", "seg_end", "frames", F.posexplode("_c").alias("cdx", "_c"))
     return rows.select(*keys, "seg_start", "seg_end", "cdx", "_c.char", "_c.word_idx", at(F.col("_c.run.start")).alias("start"), at(F.col("_c.run.end")).alias("end"), F.round("_c.run.score", 3).alias("score"))
 

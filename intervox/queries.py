@@ -490,7 +490,9 @@ def align_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
             rows = pa.ListArray.from_arrays(pa.array(np.arange(frames[-1] + 1) * signs, pa.int32()), pa.array(np.concatenate(flat).ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(frames, pa.int32()), rows)], names=[*KEYS, "emission"])
 
-    emissions = said.select(*KEYS, "text").mapInArrow(speak, "recording_id long, ord long, emission array<array<double>>")
+    # By number: a few MB of text are frames and alignment work for all tasks, which its bytes don't tell.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    emissions = said.select(*KEYS, "text").repartition(tasks, *KEYS).mapInArrow(speak, "recording_id long, ord long, emission array<array<double>>")
     aligned = transcription.align(said.drop("speaker"), emissions, c.VOCABULARY, language="en")
     return rounded(words.word_segments(aligned, KEYS), "start", "end", "score")
 
