@@ -107,7 +107,8 @@ def timed_characters(segments: DataFrame, emissions: DataFrame, vocabulary: Colu
     rows = segments.where(F.length("text") > 0).select(
         *keys, F.col("start").alias("seg_start"), F.col("end").alias("seg_end"), "text", words.leading_blanks(text).alias("lead"), words.clean_tokens(text, vocabulary, spaced).alias("tokens")
     )
-    found = ctc.align_runs(rows.join(emissions.select(*keys, "emission"), keys), blank, beam).where("runs is not null")
+    # Emissions are far larger than what they are estimated at, so neither side is broadcast; nor are words, below.
+    found = ctc.align_runs(rows.hint("merge").join(emissions.select(*keys, "emission"), keys), blank, beam).where("runs is not null")
     at = lambda x: ctc.frame_to_time(x, F.col("frames"), F.col("seg_start"), F.col("seg_end"))
     # A path takes every token in turn, so the run of token k is run k, of the inner character k.
     run = lambda i: F.get("runs", F.when(i >= F.col("lead"), i - F.col("lead")))
@@ -127,7 +128,7 @@ def align(segments: DataFrame, emissions: DataFrame, vocabulary: dict[str, int],
     rows = segments if durations is None else segments.join(durations.select("recording_id", F.col("duration").alias("_d")), "recording_id", "left").where(F.col("_d").isNull() | (F.col("start") < F.col("_d"))).drop("_d")
     timed = timed_characters(rows, emissions, known, ctc.blank_id(vocabulary, last=beam is not None), spaced, beam)
     rolled = words.interpolate(words.word_rollup(timed, [*keys, "seg_start", "seg_end"]), [*keys, "seg_start", "seg_end"])
-    return segments.join(words.word_arrays(rolled, keys), keys, "left").withColumn("words", F.coalesce("words", F.array().cast("array<struct<word:string,start:double,end:double,score:double>>")))
+    return segments.hint("merge").join(words.word_arrays(rolled, keys), keys, "left").withColumn("words", F.coalesce("words", F.array().cast("array<struct<word:string,start:double,end:double,score:double>>")))
 
 
 def align_sentences(segments: DataFrame, emissions: DataFrame, vocabulary: dict[str, int], language: str = "en", beam: int | None = 2, chars: bool = False) -> DataFrame:
@@ -141,15 +142,15 @@ def align_sentences(segments: DataFrame, emissions: DataFrame, vocabulary: dict[
     timed = timed_characters(segments, emissions, known, ctc.blank_id(vocabulary, last=beam is not None), spaced, beam)
     said, own = segments.select(*keys, "text"), [*keys, "sentence"]
     rows = words.sentence_rollup(timed, said, keys, language)
-    rows = rows.join(words.word_arrays(words.sentence_words(timed, said, keys, language), own), own, "left")
+    rows = rows.hint("merge").join(words.word_arrays(words.sentence_words(timed, said, keys, language), own), own, "left")
     if chars:
-        inside = words.sentence_characters(words.sentence_spans(said, keys, language), keys).join(timed, [*keys, "cdx"])
+        inside = words.sentence_characters(words.sentence_spans(said, keys, language), keys).hint("merge").join(timed, [*keys, "cdx"])
         of = F.sort_array(F.collect_list(F.struct("cdx", "char", "start", "end", "score")))
-        rows = rows.join(inside.groupBy(*own).agg(F.transform(of, lambda x: x.dropFields("cdx")).alias("chars")), own, "left")
+        rows = rows.hint("merge").join(inside.groupBy(*own).agg(F.transform(of, lambda x: x.dropFields("cdx")).alias("chars")), own, "left")
     for c in ("start", "end"):
         rows = words.nearest_fill(rows, keys, "sentence", c)
     rows = words.merge_same_times(rows, keys, spaced)
-    left = segments.join(timed.select(*keys).distinct(), keys, "left_anti").select(*keys, "start", "end", "text", F.lit(0).alias("sentence"))
+    left = segments.hint("merge").join(timed.select(*keys).distinct(), keys, "left_anti").select(*keys, "start", "end", "text", F.lit(0).alias("sentence"))
     return rows.unionByName(left, allowMissingColumns=True).withColumn("words", F.coalesce("words", F.array().cast(dict(rows.dtypes)["words"])))
 
 
