@@ -158,7 +158,8 @@ def sentence_spans(segments: DataFrame, keys: list[str], language: str | None =
 def sentence_characters(spans: DataFrame, keys: list[str]) -> DataFrame:
     """keys, sentence, cdx of sentence_spans: characters s to e, e included, so that the one after a sentence belongs to both.
 
-    Meant for an equi-join with characters; rows carry no text.
+    Meant for an equi-join with characters; rows carry no text. Joins of what is made by generators name sort-merge: their
+    size is estimated from the tables they come from, so they would be broadcast, through the driver, at any size.
     """
     return spans.select(*keys, "sentence", F.explode(F.sequence(F.col("s"), F.least(F.col("e"), F.col("n_chars") - 1))).alias("cdx"))
 
@@ -169,9 +170,9 @@ def sentence_rollup(chars: DataFrame, segments: DataFrame, keys: list[str], lang
     The end skips spaces. A sentence without times has null.
     """
     spans = sentence_spans(segments, keys, language)
-    rows = sentence_characters(spans, keys).join(chars.select(*keys, "cdx", "char", "start", "end"), [*keys, "cdx"])
+    rows = sentence_characters(spans, keys).hint("merge").join(chars.select(*keys, "cdx", "char", "start", "end"), [*keys, "cdx"])
     times = rows.groupBy(*keys, "sentence").agg(F.min("start").alias("start"), F.max(F.when(F.col("char") != " ", F.col("end"))).alias("end"))
-    return times.join(spans.select(*keys, "sentence", F.col("sentence_text").alias("text")), [*keys, "sentence"]).select(*keys, "sentence", "text", "start", "end")
+    return times.hint("merge").join(spans.select(*keys, "sentence", F.col("sentence_text").alias("text")), [*keys, "sentence"]).select(*keys, "sentence", "text", "start", "end")
 
 
 def sentence_words(chars: DataFrame, segments: DataFrame, keys: list[str], language: str | None = None) -> DataFrame:
