@@ -177,7 +177,7 @@ def sentence_rollup(chars: DataFrame, segments: DataFrame, keys: list[str], lang
 
 def sentence_words(chars: DataFrame, segments: DataFrame, keys: list[str], language: str | None = None) -> DataFrame:
     """keys, sentence, word_idx, word, start, end, score: words rolled up within each sentence's characters."""
-    rows = sentence_characters(sentence_spans(segments, keys, language), keys).join(chars, [*keys, "cdx"])
+    rows = sentence_characters(sentence_spans(segments, keys, language), keys).hint("merge").join(chars, [*keys, "cdx"])
     return word_rollup(rows, [*keys, "sentence"])
 
 
