@@ -192,3 +192,9 @@ def test_one_short_recording_does_not_stop_the_others(spark):
     assert got[0, 0] == "spk0" and got[1, 0] == got[1, 2] != got[1, 1] == got[1, 3]
     with pytest.raises(Exception, match="too few"):
         clustering.cluster_speakers(rows, number=2, strict=True).collect()
+
+
+def test_compressed_wav_is_decoded():
+    x = np.sin(np.arange(4000)) / 2
+    plain, packed = audio.encode_wav(x), audio.compressed(audio.encode_wav(audio.pcm(x)))
+    assert (audio.decode(packed)[0] == audio.decode(plain)[0]).all() and audio.header(packed) == audio.header(plain)
