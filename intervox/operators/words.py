@@ -131,14 +131,18 @@ def confidence(words: Column) -> Column:
     return F.when(F.size(scores) > 0, F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) / F.size(scores))
 
 
+def _pieces(text: Column) -> Column:
+    """array<string>: the sentences of a text with the blanks around them, so that together they are the text."""
+    return F.filter(F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0)), lambda x: F.length(x) > 0)
+
+
 def sentence_spans(segments: DataFrame, keys: list[str], language: str | None = None) -> DataFrame:
     """keys, sentence, s, e, n_chars, sentence_text of segments (keys, text): each sentence's characters s to e, e not included.
 
     A sentence ends with a run of . ! ? and what closes it, or with the text; its outer blanks aren't part of it. With a
     language, its abbreviations, initials and stops before anything but a blank end none.
     """
-    pieces = F.filter(F.regexp_extract_all("text", F.lit(SENTENCE), F.lit(0)), lambda x: F.length(x) > 0)
-    rows = segments.select(*keys, F.length("text").alias("n_chars"), pieces.alias("_p"))
+    rows = segments.select(*keys, F.length("text").alias("n_chars"), _pieces(F.col("text")).alias("_p"))
     rows = rows.select(*keys, "n_chars", F.posexplode("_p").alias("_i", "_p"))
     order = Window.partitionBy(*keys).orderBy("_i")
     if language is not None:
@@ -175,6 +179,32 @@ def sentence_rollup(chars: DataFrame, segments: DataFrame, keys: list[str], lang
     return times.hint("merge").join(spans.select(*keys, "sentence", F.col("sentence_text").alias("text")), [*keys, "sentence"]).select(*keys, "sentence", "text", "start", "end")
 
 
+def sentence_rollup_within(segments: DataFrame, keys: list[str]) -> DataFrame:
+    """sentence_rollup of segments (keys, text, starts, ends), whose arrays of doubles have all characters of the text in order.
+
+    Each row is rolled up by itself, so that no row of a character is made or sent.
+    """
+    inked = F.zip_with(F.split("text", ""), "ends", lambda x, end: F.when(x != " ", end))
+    rows = segments.select(*keys, "starts", inked.alias("ends"), _pieces(F.col("text")).alias("_p"))
+    # Where each piece begins: the places of characters that are the first of theirs, since sums over an array's head are quadratic.
+    inside = F.flatten(F.transform("_p", lambda p: F.sequence(F.lit(0), F.length(p) - 1)))
+    begins = F.array_remove(F.transform(inside, lambda k, i: F.when(k == 0, i).otherwise(-1)), -1)
+
+    def placed(p: Column, begin: Column) -> Column:
+        s, e = begin + F.length(p) - F.length(F.regexp_replace(p, r"^\s+", "")), begin + F.length(F.regexp_replace(p, r"\s+$", ""))
+        return F.struct(s.alias("s"), e.alias("e"), begin.alias("begin"), p.alias("piece"))
+
+    def timed(x: Column) -> Column:
+        # The character after a sentence belongs to both, as in sentence_characters.
+        own = lambda c: F.slice(c, x["s"] + 1, F.least(x["e"] + 1, F.size(c)) - x["s"])
+        text = F.substring(x["piece"], x["s"] - x["begin"] + 1, x["e"] - x["s"])
+        return F.struct(text.alias("text"), F.array_min(own("starts")).alias("start"), F.array_max(own("ends")).alias("end"))
+
+    found = F.filter(F.zip_with("_p", begins, placed), lambda x: x["e"] > x["s"])
+    # The generator takes the expression: a column of its own would be filtered by size, and found twice.
+    return rows.select(*keys, F.posexplode(F.transform(found, timed)).alias("sentence", "_s")).select(*keys, "sentence", "_s.*")
+
+
 def sentence_words(chars: DataFrame, segments: DataFrame, keys: list[str], language: str | None = None) -> DataFrame:
     """keys, sentence, word_idx, word, start, end, score: words rolled up within each sentence's characters."""
     rows = sentence_characters(sentence_spans(segments, keys, language), keys).hint("merge").join(chars, [*keys, "cdx"])

@@ -85,6 +85,27 @@ def test_sentence_characters_share_the_border(spark):
     assert [(r["text"], r["start"], r["end"]) for r in got] == [("Ab.", 0.0, 3.0), ("Cd", 4.0, 6.0)]
 
 
+def test_sentences_within_rows_equal_the_join(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("ab  .!?)'\"\n\té😀") for _ in range(rng.randint(1, 40))) for _ in range(300)] + ["", None, "   ", "...", " a", "a. ", "no stop"]
+    segments, has = frame(spark, texts), lambda i, x: (i % 5 != 0) & (x != "b")
+    chars = w.characters(segments, KEYS).withColumns({c: F.when(has(F.col("cdx"), F.col("char")), F.col("cdx") + k) for c, k in (("start", 0.0), ("end", 1.0))})
+    of = lambda k: F.transform(F.split("text", ""), lambda x, i: F.when(has(i, x), i + k))
+    timed = segments.withColumns({"starts": of(0.0), "ends": of(1.0)})
+    got = w.sentence_rollup_within(timed, KEYS)
+    want = w.sentence_rollup(chars, segments, KEYS)
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) != []
+
+
+def test_sentences_within_a_very_long_row(spark):
+    """Work is linear in the text, as in test_words_of_a_very_long_text."""
+    segments = frame(spark, ["abc. " * 60_000]).withColumns({c: F.sequence(F.lit(k), F.lit(299_999 + k)).cast("array<double>") for c, k in (("starts", 0), ("ends", 1))})
+    began = time.time()
+    assert w.sentence_rollup_within(segments, KEYS).where("text = 'abc.' and start = 5 * sentence and end = start + 4").count() == 60_000
+    assert time.time() - began < 30
+
+
 @pytest.mark.parametrize(
     "language, text, sentences",
     [
